@@ -40,7 +40,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
         F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     )
-    bounded = F.least(chord, F.lit(1.0))
+    bounded = F.when(chord > 1, 1.0).otherwise(chord)  # rounding may pass 1; least() would lose NULL
     return round_half_up(
         2 * EARTH_RADIUS_KM * F.atan2(F.sqrt(bounded), F.sqrt(1 - bounded)), 2
     )

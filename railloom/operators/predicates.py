@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railloom.functions.coerce import strip
+from railloom.functions.coerce import blank_to_null, strip
 from railloom.functions.text import contains_pattern
 from railloom.operators.columns import SOURCE_ORDER, present
 
@@ -25,9 +25,10 @@ def require_all(df: DataFrame) -> DataFrame:
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    """L3: the empty string is NULL; rows with nothing in them go."""
+    """L3: the empty text is NULL; rows with nothing in them go."""
     cols = [c for c in df.columns if c != SOURCE_ORDER]
-    cleaned = df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in cols})
+    texts = [c for c, kind in df.dtypes if kind == "string" and c in cols]
+    cleaned = df.withColumns({c: blank_to_null(F.col(f"`{c}`")) for c in texts})
     return cleaned.dropna(how="all", subset=cols)
 
 
