@@ -145,9 +145,9 @@ def read_json_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return raw.select(*[F.col(f"`{c}`") for c in raw.columns if c], _scan_position())
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Pages of ``{total_count, results: [...]}``, as landed."""
-    return spark.read.json(path, multiLine=True)
+def read_pages(spark: SparkSession, path: str | Sequence[str], per_line: bool = False) -> DataFrame:
+    """Pages of ``{total_count, results: [...]}``, as landed; one per file, or one per line."""
+    return spark.read.json(path, multiLine=not per_line)
 
 
 def records_of(pages: DataFrame) -> DataFrame:

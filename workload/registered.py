@@ -1,4 +1,4 @@
 """Imports every query module, so that the registry is complete."""
 
-from workload import modelling, read_side, scalar_side  # noqa: F401
+from workload import landed_side, modelling, read_side, scalar_side  # noqa: F401
 from workload.catalogue import ORACLES, QUERIES  # noqa: F401
