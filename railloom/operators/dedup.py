@@ -35,7 +35,10 @@ def tie_breakers(df: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -> DataFrame:
     """First row per key (NULL is a key of its own)."""
-    window = Window.partitionBy(*keys).orderBy(*order_by, *tie_breakers(df, keys))
+    order = [*order_by, *tie_breakers(df, keys)]
+    if not order:
+        return df.dropDuplicates(list(keys))  # nothing but the key: its rows are all equal
+    window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(RANK, F.row_number().over(window)).where(F.col(RANK) == 1).drop(RANK)
 
 

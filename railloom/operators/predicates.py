@@ -9,27 +9,41 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railloom.functions.coerce import blank_to_null, strip
+from railloom.functions.coerce import strip
 from railloom.functions.text import contains_pattern
 from railloom.operators.columns import SOURCE_ORDER, present
 
 
+def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Keep rows in which all the columns have a value; NaN is none.
+
+    One small predicate per column. A single predicate over many columns, which is what ``dropna`` makes,
+    is copied by the optimizer for every later renaming of each of its columns: 2^columns copies.
+    """
+    kinds = dict(df.dtypes)
+    checks = [F.col(f"`{c}`").isNotNull() for c in columns]
+    checks += [~F.isnan(F.col(f"`{c}`")) for c in columns if kinds[c] in ("double", "float")]
+    return df.where(reduce(and_, checks)) if checks else df
+
+
 def require(df: DataFrame, mandatory: Sequence[str]) -> DataFrame:
     """L1: drop rows with NULL in any mandatory column that exists."""
-    return df.dropna(subset=cols) if (cols := present(df, mandatory)) else df
+    return known(df, present(df, mandatory))
 
 
 def require_all(df: DataFrame) -> DataFrame:
     """L2: drop rows with NULL in any column."""
-    return require(df, [c for c in df.columns if c != SOURCE_ORDER])
+    return known(df, [c for c in df.columns if c != SOURCE_ORDER])
+
+
+def filled_entries(row: Column) -> Column:
+    """L3 on a map<column, text>: blank texts are missing values, the column without a name goes."""
+    return F.map_filter(row, lambda name, value: (name != "") & (value != ""))
 
 
-def drop_empty_rows(df: DataFrame) -> DataFrame:
-    """L3: the empty text is NULL; rows with nothing in them go."""
-    cols = [c for c in df.columns if c != SOURCE_ORDER]
-    texts = [c for c, kind in df.dtypes if kind == "string" and c in cols]
-    cleaned = df.withColumns({c: blank_to_null(F.col(f"`{c}`")) for c in texts})
-    return cleaned.dropna(how="all", subset=cols)
+def drop_empty_rows(df: DataFrame, row: str) -> DataFrame:
+    """L3: keep rows whose map has at least one filled entry, and only those entries."""
+    return df.withColumn(row, filled_entries(F.col(row))).where(F.size(row) > 0)
 
 
 def any_rule(rules: Sequence[Mapping[str, object]]) -> Column:

@@ -64,9 +64,8 @@ def clean_cube_or_empty(raw: DataFrame, spec: CubeSpec) -> DataFrame | None:
         return None
 
 
-def clean_night_entity(raw: DataFrame, entity: NightEntity) -> DataFrame:
-    """Blanks to NULL, empty rows out, then the typed columns of the entity."""
-    df = predicates.drop_empty_rows(raw)
+def clean_night_entity(df: DataFrame, entity: NightEntity) -> DataFrame:
+    """The typed columns and constants of the entity, and its rejected rows out."""
     casts = (
         (entity.timestamps, clock.timestamp_from_text),
         (entity.clocks, clock.loose_time_of_day),

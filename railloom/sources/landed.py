@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railloom.operators.columns import SOURCE_ORDER
+from railloom.operators.predicates import drop_empty_rows
 
 # Cell texts that a data-frame CSV reader takes as missing.
 MISSING_TEXTS = (
@@ -97,52 +98,68 @@ def read_sniffed(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, sniff_separator(header_line(spark, path)))
 
 
+def _located_text(spark: SparkSession, path: str | Sequence[str], whole: bool) -> DataFrame:
+    return spark.read.text(path, wholetext=whole).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+
+
+def _as_columns(rows: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    """Maps to one column per name; blanks are NULL and rows without any value go (L3)."""
+    names = column_names(rows) if columns is None else columns
+    return drop_empty_rows(rows, "row").select(
+        *[F.try_element_at("row", F.lit(c)).alias(c) for c in names if c],
+        _position(F.col("file"), F.col("block"), F.col("line"), F.col("item")),
+    )
+
+
 def read_keyed_json(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     per_line: bool = False,
 ) -> DataFrame:
-    """S3: objects of objects. Outer keys are dropped, inner objects are rows, columns are the union.
+    """S3, L3: objects of objects. Outer keys are dropped, inner objects are rows, columns are the union.
 
     A file is one object (one record, read by one task) unless ``per_line``, where every line is an
     object and the file splits. Without ``columns`` the names are found by a first pass that brings one
     row per distinct column name to the driver.
     """
-    text = spark.read.text(path, wholetext=not per_line).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+    rows = (
+        _located_text(spark, path, not per_line)
+        .select(
+            "file",
+            "block",
+            "line",
+            F.posexplode(F.from_json("value", "map<string,map<string,string>>")).alias("item", "key", "row"),
+        )
+        .where(F.col("row").isNotNull())
     )
-    rows = text.select(
-        "file",
-        "block",
-        "line",
-        F.posexplode(F.from_json("value", "map<string,map<string,string>>")).alias("item", "key", "row"),
-    ).where(F.col("row").isNotNull())
-    if columns is None:
-        columns = column_names(rows)
-    return rows.select(
-        *[F.try_element_at("row", F.lit(c)).alias(c) for c in columns if c],
-        _position(F.col("file"), F.col("block"), F.col("line"), F.col("item")),
+    return _as_columns(rows, columns)
+
+
+def read_json_lines(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
+) -> DataFrame:
+    """S3, L3 for volume: one row object per line, splittable; every value as text."""
+    rows = _located_text(spark, path, False).select(
+        "file", "block", "line", F.lit(0).alias("item"), F.from_json("value", "map<string,string>").alias("row")
     )
+    return _as_columns(rows.where(F.col("row").isNotNull()), columns)
 
 
 def column_names(rows: DataFrame) -> list[str]:
+    """Distinct names over all rows, in the order of their first position inside an object."""
     found = (
-        rows.select("item", F.explode(F.map_keys("row")).alias("name"))
+        rows.select(F.posexplode(F.map_keys("row")).alias("at", "name"))
         .groupBy("name")
-        .agg(F.min("item").alias("seen"))
+        .agg(F.min("at").alias("at"))
         .collect()
     )
-    return [r["name"] for r in sorted(found, key=lambda r: (r["seen"], r["name"]))]
-
-
-def read_json_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """S3 for volume: one row object per line, splittable; every value as text."""
-    raw = spark.read.json(path, primitivesAsString=True)
-    return raw.select(*[F.col(f"`{c}`") for c in raw.columns if c], _scan_position())
+    return [r["name"] for r in sorted(found, key=lambda r: (r["at"], r["name"]))]
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str], per_line: bool = False) -> DataFrame:

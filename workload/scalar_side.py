@@ -214,15 +214,19 @@ def emission_estimate(t: Tables) -> DataFrame:
 def fallback_and_nulls(t: Tables) -> DataFrame:
     """C20, C27, P4, P6, L1, L3, L5, L6."""
     k = F.col("c_custkey")
-    raw = t.customer.select(
-        "c_custkey",
-        F.when(k % 3 > 0, F.col("c_mktsegment")).otherwise("").alias("segment"),
-        F.when(k % 5 > 0, F.col("c_name")).otherwise("").alias("name"),
-        F.when(k % 6 > 0, F.lit("x")).otherwise(" = ").alias("short"),
-        F.when(k % 7 > 0, F.lit(" y")).otherwise("  ").alias("blank"),
-        F.when(k % 4 > 0, F.col("c_acctbal")).otherwise(F.lit(float("nan"))).alias("balance"),
+    entries = {
+        "segment": F.when(k % 3 > 0, F.col("c_mktsegment")).otherwise(""),
+        "name": F.when(k % 5 > 0, F.col("c_name")).otherwise(""),
+        "short": F.when(k % 6 > 0, F.lit("x")).otherwise(" = "),
+        "blank": F.when(k % 7 > 0, F.lit(" y")).otherwise("  "),
+    }
+    row = F.create_map(*[c for name, value in entries.items() for c in (F.lit(name), value)])
+    balance = F.when(k % 4 > 0, F.col("c_acctbal")).otherwise(F.lit(float("nan")))
+    maps = predicates.drop_empty_rows(
+        t.customer.select("c_custkey", row.alias("row"), balance.alias("balance")), "row"
     )
-    rows = predicates.require(predicates.drop_empty_rows(raw), ["name", "not_there"]).where(
+    raw = maps.select("c_custkey", "balance", *[F.try_element_at("row", F.lit(c)).alias(c) for c in entries])
+    rows = predicates.require(raw, ["name", "not_there"]).where(
         predicates.differs(F.col("short"), " = ") & predicates.not_blank(F.col("blank"))
     )
     return rows.select(
