@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -77,21 +78,29 @@ def jobs(spark: SparkSession, landing: Landing) -> Iterable[Job]:
     )
 
 
-def ingest(spark: SparkSession, landing: Landing, zone: Zone) -> dict[str, str]:
+def _load(zone: Zone, name: str, job: Callable) -> dict[str, str]:
+    try:
+        made = job()
+        bundle = made if isinstance(made, dict) else {name: made}
+        return {
+            table: "loaded" if zone.load(table, df) is not None else "empty" for table, df in bundle.items()
+        }
+    except (PySparkException, ValueError) as error:
+        log.warning("source %s skipped: %s", name, error)
+        return {name: "skipped"}
+
+
+def ingest(spark: SparkSession, landing: Landing, zone: Zone, at_once: int = 4) -> dict[str, str]:
     """Load every source; a source that fails is skipped and reported, the others go on.
 
-    Spark reports most errors when a job runs, so the guard covers the load, not only the reading.
+    Spark reports most errors when a job runs, so the guard covers the load, not only the reading. The
+    sources do not depend on each other, so some are loaded at once.
     """
     outcome: dict[str, str] = {}
-    for name, job in jobs(spark, landing):
-        try:
-            made = job()
-            bundle = made if isinstance(made, dict) else {name: made}
-            for table, df in bundle.items():
-                outcome[table] = "loaded" if zone.load(table, df) is not None else "empty"
-        except (PySparkException, ValueError) as error:
-            log.warning("source %s skipped: %s", name, error)
-            outcome[name] = "skipped"
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(_load, zone, name, job) for name, job in jobs(spark, landing)]
+        for done in running:
+            outcome |= done.result()
     return outcome
 
 
