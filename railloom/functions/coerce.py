@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # The words that count as true in a text flag.
 TRUE_WORDS = ("1", "true", "t", "yes", "y", "oui", "vrai")
 
-NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-FIRST_NUMBER = r"(\d+\.?\d*)"
+# Checks run on the raw text with this margin, so that stripping is paid once, for valid text only.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"  # WHITESPACE
+NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+FIRST_NUMBER = r"\d+\.?\d*"
 
 
 def strip(c: Column) -> Column:
@@ -20,26 +24,34 @@ def strip(c: Column) -> Column:
     return F.trim(c.cast("string"), F.lit(WHITESPACE))
 
 
-def blank_to_null(c: Column) -> Column:
-    """L3: the empty string is a missing value."""
-    return F.nullif(c, F.lit(""))
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` mentions it.
+
+    A long rule over an expression would otherwise repeat that expression, and its generated code, at
+    every mention.
+    """
+    return F.get(F.transform(F.array(c), use), 0)
+
+
+def matches(c: Column, pattern: str) -> Column:
+    """The text, surrounding whitespace aside, has the form of the pattern."""
+    return c.cast("string").rlike(f"^{SPACE}(?:{pattern}){SPACE}$")
 
 
 def to_double(c: Column) -> Column:
     """Text to double. The pattern check keeps out what a Java parser would take ('12d', 'NaN')."""
-    text = strip(c)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    return F.when(matches(c, NUMBER), strip(c).try_cast("double"))
 
 
 def to_int(c: Column, to: str = "int") -> Column:
-    """Text to integer through double, so '12.0' is 12; a fraction or an overflow is NULL."""
-    number = to_double(c)
-    return F.when(number == F.floor(number), number.try_cast(to))
+    """Text to integer, '12.0' is 12; a fraction or an overflow is NULL. A decimal has no 'NaN'."""
+    number = strip(c).try_cast("decimal(38,9)")
+    return F.when(number % 1 == 0, number.try_cast(to))
 
 
 def first_number(c: Column) -> Column:
     """First unsigned number inside a text such as '123.4 e'; NULL when there is none."""
-    return F.nullif(F.regexp_extract(c, FIRST_NUMBER, 1), F.lit("")).try_cast("double")
+    return F.regexp_substr(c, F.lit(FIRST_NUMBER)).try_cast("double")
 
 
 def is_one(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from railloom.functions.coerce import strip, to_double
+from railloom.functions.coerce import NUMBER, SPACE, matches, strip
 
 # Earth radius in km, emission factor in kg per passenger-km.
 EARTH_RADIUS_KM = 6371.0
@@ -27,10 +27,10 @@ def rounded_or_zero(c: Column, digits: int) -> Column:
 
 
 def coordinates(c: Column) -> Column:
-    """C16: 'lat, lon' to struct<lat, lon>; both NULL unless both parse."""
-    parts = F.split(c, ",")
-    lat, lon = to_double(F.get(parts, 0)), to_double(F.get(parts, 1))
-    both = lat.isNotNull() & lon.isNotNull()
+    """C16: 'lat, lon' to struct<lat, lon>; both NULL unless both parse. Further parts are ignored."""
+    both = matches(c, f"{NUMBER}{SPACE},{SPACE}{NUMBER}(?:{SPACE},.*)?")
+    lat = strip(F.substring_index(c, ",", 1)).try_cast("double")
+    lon = strip(F.substring_index(F.substring_index(c, ",", 2), ",", -1)).try_cast("double")
     return F.struct(F.when(both, lat).alias("lat"), F.when(both, lon).alias("lon"))
 
 
