@@ -24,7 +24,7 @@ def tables(spark):
 
 @pytest.mark.parametrize("name", sorted(registered.QUERIES))
 def test_no_python_no_cartesian_product_no_single_task_window(spark, name):
-    if name in ("zone_upsert", "intermodal_facts", "landed_cube"):
+    if name in ("zone_upsert", "intermodal_facts", "landed_cube", "refreshed_facts"):
         pytest.skip("runs jobs of its own; covered by the oracle test")
     text = plan(registered.QUERIES[name](spark, SF))
     for marker in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct"):
