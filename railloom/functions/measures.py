@@ -27,11 +27,11 @@ def rounded_or_zero(c: Column, digits: int) -> Column:
 
 
 def coordinates(c: Column) -> Column:
-    """C16: 'lat, lon' to struct<lat, lon>; both NULL unless both parse. Further parts are ignored."""
+    """C16: 'lat, lon' to struct<lat, lon>, NULL unless both parse. Further parts are ignored."""
     both = matches(c, f"{NUMBER}{SPACE},{SPACE}{NUMBER}(?:{SPACE},.*)?")
     lat = strip(F.substring_index(c, ",", 1)).try_cast("double")
     lon = strip(F.substring_index(F.substring_index(c, ",", 2), ",", -1)).try_cast("double")
-    return F.struct(F.when(both, lat).alias("lat"), F.when(both, lon).alias("lon"))
+    return F.when(both, F.struct(lat.alias("lat"), lon.alias("lon")))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
