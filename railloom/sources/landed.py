@@ -68,7 +68,7 @@ def header_line(spark: SparkSession, path: str) -> str:
     rows = spark.read.text(path).head(1)
     if not rows:
         raise ValueError(f"empty source: {path}")
-    return rows[0]["value"].lstrip("﻿")
+    return rows[0]["value"].lstrip("\ufeff")
 
 
 def header_width(line: str, sep: str) -> int:

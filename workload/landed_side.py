@@ -170,7 +170,7 @@ def landed_carbon(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "carbon")
     half = round_half_up(F.col("s_acctbal") * 0.5, 3)
     t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_name").alias("﻿Origine"),
+        F.col("s_name").alias("\ufeffOrigine"),
         F.when(F.col("s_suppkey") % 4 > 0, F.col("n_name")).alias(" Destination"),
         F.col("s_acctbal").alias("Distance entre les gares "),
         half.alias(" Train - Empreinte carbone (kgCO2e) "),
