@@ -6,6 +6,16 @@ import os
 
 from pyspark.sql import SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers of this machine find the package where the driver found it; on a cluster use --py-files."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+
 
 def local_session(name: str, cpus: str | None = None, **conf: str) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
@@ -24,4 +34,5 @@ def local_session(name: str, cpus: str | None = None, **conf: str) -> SparkSessi
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    let_workers_import(spark)
     return spark
