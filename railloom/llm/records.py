@@ -19,6 +19,7 @@ import re
 import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from railloom.llm.batches import int_lists, ragged, slices
 
 HEAD, META = struct.Struct("<QI"), struct.Struct("<qBBI")
 MASK_SHIFT, MASK_ADD = 15, 0xA282EAD8
-TABLE_CHUNKS = 500_000
+TABLE_CHUNKS, TABLE_WORDS = 200_000, 300_000
 
 #: Fixed value: the pre-tokenizer pattern of the public lower-case word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -87,39 +88,32 @@ class WordTokenizer:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(plain)]
         self.symbol = [chr(256 + others.index(b)) if b in others else chr(b) for b in range(256)]
+        self.words_met: dict[str, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.ids_of_word: dict[str, list[int]] = {}
         self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def word(self, word: str) -> list[int]:
-        ids = self.ids_of_word.get(word)
+    def word(self, word: str) -> bytes:
+        ids = self.words_met.get(word)
         if ids is None:
             text = word if word.isascii() and word.isalnum() else "".join(map(self.symbol.__getitem__, word.encode()))
-            ids = self.ids_of_word[word] = [t.id for t in self.tokens_of(text)]
+            ids = self.words_met[word] = array("i", [t.id for t in self.tokens_of(text)]).tobytes()
         return ids
 
     def learn(self, chunks: set[str]) -> None:
         if len(self.rows) + len(chunks) > self.limit:
             self.clear()
+        if len(self.words_met) > TABLE_WORDS:
+            self.words_met = {}
         new = list(chunks.difference(self.rows))
-        flat: list[int] = []
-        counts = []
-        for chunk in new:
-            before = len(flat)
-            if chunk.isalpha():
-                flat += self.word(chunk)
-            else:
-                for w in self.words(chunk):
-                    flat += self.word(w)
-            counts.append(len(flat) - before)
-        sizes = np.array(counts, np.int64)
+        blobs = [self.word(c) if c.isalpha() else b"".join(map(self.word, self.words(c))) for c in new]
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
         self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.counts = np.concatenate([self.counts, sizes])
-        self.ids = np.concatenate([self.ids, np.array(flat, np.int32)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(blobs), np.int32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts back to back and how many each text has."""
