@@ -76,6 +76,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, all columns. Ids must be unique, as a row is found again by its id."""
-    kept = exact_groups(df, id_col, text).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return df.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``df`` that stay, all columns; of rows that repeat both id and content, one."""
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(normalised(F.col(f"`{text}`")), 256).alias("text_sha256"), own.alias("row"))
+    kept = exact_groups(df, id_col, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    found = rows.join(kept, (F.col("text_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    again = F.row_number().over(Window.partitionBy("text_sha256", "doc_id").orderBy(F.lit(0)))
+    return found.withColumn("_n", again).where("_n = 1").select("row.*")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railloom.llm import bpe, content_sort, langid, quality, records, reply_trees, set_join, shards
+from railloom.llm import bpe, content_sort, decontaminate, langid, quality, records, reply_trees, set_join, shards
 from railloom.operators.staging import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,19 @@ def record_digests(spark: SparkSession, path: str) -> DataFrame:
 @query()
 def op10_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document whether it holds a benchmark passage, in how many items, and the closest of them."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.array_min(F.transform("matches", lambda m: F.struct(m["edits"], m["item_id"], m["start"], m["end"])))
+    return found.select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.size("matches").alias("n_items"),
+        best["item_id"].alias("item_id"),
+        best["edits"].alias("edits"),
+        best["start"].alias("start"),
+        best["end"].alias("end"),
+    )
