@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railloom.llm import bpe, content_sort, decontaminate, langid, quality, records, reply_trees, set_join, shards
+from railloom.llm import bpe, content_sort, decontaminate, langid, phrase_dedup, quality, records, reply_trees, set_join, shards
 from railloom.operators.staging import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         best["start"].alias("start"),
         best["end"].alias("end"),
     )
+
+
+@query()
+def op8_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = phrase_dedup.remove(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
