@@ -81,5 +81,5 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(normalised(F.col(f"`{text}`")), 256).alias("text_sha256"), own.alias("row"))
     kept = exact_groups(df, id_col, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     found = rows.join(kept, (F.col("text_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    again = F.row_number().over(Window.partitionBy("text_sha256", "doc_id").orderBy(F.lit(0)))
+    again = F.row_number().over(Window.partitionBy("text_sha256", "doc_id").orderBy(F.char_length(F.col("row")[text]).desc(), F.col("row")[text]))
     return found.withColumn("_n", again).where("_n = 1").select("row.*")
