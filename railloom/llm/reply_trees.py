@@ -74,32 +74,29 @@ def paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
         "tree_id", "message_id", F.when(F.col("known"), F.col("parent_id")).alias("above"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")
     )
     up = stage(up, "reply-up")
-    levels, most = [up], nodes.count()
+    # only messages that have not reached their root go on; each round doubles how far the others are
+    rooted, going, most = up.where("above IS NULL"), up.where("above IS NOT NULL"), nodes.count()
+    levels = [going]
     while True:
-        other = up.select("tree_id", F.col("message_id").alias("above"), F.col("above").alias("_above"), F.col("depth").alias("_depth"), F.col("total").alias("_total"))
-        joined = up.join(other, ["tree_id", "above"], "left")
-        up = stage(
-            joined.select(
-                "tree_id",
-                "message_id",
-                F.col("_above").alias("above"),
-                (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-            ),
-            "reply-up",
-        )
-        levels.append(up)
-        open_, deepest = up.agg(F.max(F.when(F.col("above").isNotNull(), 1)), F.max(F.col("depth"))).head()
+        open_, deepest = going.agg(F.count(F.lit(1)), F.max("depth")).head()
         # a path cannot be longer than the number of messages; what is still open then goes around a circle
         if not open_ or deepest > most:
             break
-    rooted = up.where("above IS NULL")
-    parents = levels[0].where("above IS NOT NULL").select("tree_id", F.col("above").alias("message_id")).distinct()
+        higher = rooted.union(going).select(
+            "tree_id", F.col("message_id").alias("above"), F.col("above").alias("_above"), F.col("depth").alias("_depth"), F.col("total").alias("_total")
+        )
+        joined = going.join(higher, ["tree_id", "above"]).select(
+            "tree_id", "message_id", F.col("_above").alias("above"), (F.col("depth") + F.col("_depth")).alias("depth"), (F.col("total") + F.col("_total")).alias("total")
+        )
+        up = stage(joined, "reply-up")
+        rooted, going = rooted.union(up.where("above IS NULL")), up.where("above IS NOT NULL")
+        levels.append(going)
+    parents = levels[0].select("tree_id", F.col("above").alias("message_id")).distinct()
     leaves = rooted.join(parents, ["tree_id", "message_id"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy(F.col("total").desc(), "message_id"))
     marked = leaves.withColumn("branch", rank).where(F.col("branch") <= per_tree).select("tree_id", "branch", "message_id")
     for level in reversed(levels):
-        higher = marked.join(level.where("above IS NOT NULL"), ["tree_id", "message_id"]).select("tree_id", "branch", F.col("above").alias("message_id"))
+        higher = marked.join(level, ["tree_id", "message_id"]).select("tree_id", "branch", F.col("above").alias("message_id"))
         marked = stage(marked.union(higher).distinct(), "reply-paths")
     return marked.join(rooted.select("tree_id", "message_id", "depth"), ["tree_id", "message_id"])
 
