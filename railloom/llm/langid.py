@@ -60,16 +60,19 @@ class SuffixAutomaton:
     def table(self, width: int) -> np.ndarray:
         """Entry [state, symbol]: next state x width x 2, plus 1 where a phrase ends before the symbol.
 
-        The last symbol stands for the end of a block and changes nothing.
+        A symbol that the sample lacks is a phrase of its own: it leads to an added state after which any symbol
+        begins a new phrase. The last symbol stands for the end of a block and changes nothing.
         """
-        root = np.full(width, 1, np.int64)
+        lost = len(self.next)
+        begin = np.full(width, lost * width * 2 + 1, np.int64)
         for c, to in self.next[0].items():
-            root[c] = to * width * 2 + 1
-        table = np.tile(root, (len(self.next), 1))
-        state = np.repeat(np.arange(len(self.next)), [len(n) for n in self.next])
+            begin[c] = to * width * 2 + 1
+        table = np.tile(begin, (lost + 1, 1))
+        table[0, begin == lost * width * 2 + 1] -= 1  # the first phrase of a block is counted already
+        state = np.repeat(np.arange(lost), [len(n) for n in self.next])
         symbol = np.fromiter((c for n in self.next for c in n), np.int64, len(state))
         table[state, symbol] = np.fromiter((t for n in self.next for t in n.values()), np.int64, len(state)) * width * 2
-        table[:, width - 1] = np.arange(len(self.next)) * width * 2
+        table[:, width - 1] = np.arange(lost + 1) * width * 2
         return table.astype(np.int32)
 
 
