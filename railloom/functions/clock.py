@@ -18,8 +18,8 @@ ZONE = r".*(?:[zZ]|[+-]\d{2}:?\d{2})"
 CLOCK = r"(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d)?"
 LOOSE_CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
 HOUR_MINUTE = r"(?:[01]?\d|2[0-3]):[0-5]?\d"
-SPAN_HM = r"\d{1,4}:[0-5]\d"
-SPAN_HMS = SPAN_HM + r":[0-5]\d(?:\.\d{1,6})?"
+SPAN_HM = r"\d+:[0-5]\d"
+SPAN_HMS = SPAN_HM + r":[0-5]\d(?:\.\d+)?"
 
 
 def _compact_to_iso(text: Column) -> Column:
@@ -87,7 +87,8 @@ def duration_interval(c: Column) -> Column:
     """C13: 'HHH:MM[:SS]' or 'N days HH:MM[:SS]' to an interval; bare numbers and other text give NULL."""
 
     def clock(text: Column) -> Column:
-        whole = F.when(matches(text, SPAN_HM), F.concat(text, F.lit(":00"))).when(matches(text, SPAN_HMS), text)
+        cut = F.regexp_replace(text, r"(\.\d{6})\d+$", "$1")  # an interval has microseconds
+        whole = F.when(matches(text, SPAN_HM), F.concat(text, F.lit(":00"))).when(matches(text, SPAN_HMS), cut)
         return whole.try_cast("interval hour to second").cast("interval day to second")
 
     def parse(text: Column) -> Column:

@@ -26,8 +26,12 @@ def stable_id(c: Column, prefix: str = "", digits: int = 8) -> Column:
 
 
 def natural_key_id(*parts: Column, prefix: str = "", digits: int = 16) -> Column:
-    """Id from a natural key instead of a row position. A NULL part differs from an empty one."""
-    marked = [F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("-")) for p in parts]
+    """Id from a natural key instead of a row position.
+
+    Every part is written with its length, so no text moves between parts, and NULL differs from empty.
+    """
+    texts = [p.cast("string") for p in parts]
+    marked = [F.coalesce(F.concat(F.char_length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in texts]
     return stable_id(F.concat_ws("|", *marked), prefix, digits)
 
 

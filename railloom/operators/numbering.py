@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railloom.operators.merge import null_safe_match
+from railloom.operators.quality import unique_or_fail
 from railloom.operators.staging import stage
 
 PART, POSITION, OFFSET = "_part", "_position", "_offset"
@@ -51,10 +52,9 @@ def fill_ids(
     df: DataFrame, id_col: str, order_by: Sequence[str], last: int = 0, id_type: str = "int"
 ) -> DataFrame:
     """Keep the ids that are there; rows without one are numbered after ``last``."""
-    staged = stage(df.withColumn(id_col, F.col(id_col).cast(id_type)), f"fill-{id_col}")
     missing = F.col(id_col).isNull()
-    fresh = dense_ids(staged.where(missing).drop(id_col), order_by, id_col, last + 1, id_type)
-    return staged.where(~missing).unionByName(fresh)
+    fresh = dense_ids(df.where(missing).drop(id_col), order_by, id_col, last + 1, id_type)
+    return df.where(~missing).withColumn(id_col, F.col(id_col).cast(id_type)).unionByName(fresh)
 
 
 def last_id(df: DataFrame | None, id_col: str) -> int:
@@ -71,12 +71,14 @@ def keyed_ids(
 ) -> DataFrame:
     """Give every incoming row the id its natural key already has, and new keys the ids after the last.
 
-    Both sides must be unique on the natural key; NULL equals NULL in it. Re-running a load therefore
-    changes no id.
+    NULL equals NULL in the natural key; one that either side repeats fails the load. Re-running a load
+    therefore changes no id.
     """
+    incoming = unique_or_fail(incoming, natural_key)
     last = last_id(existing, id_col) if last is None else last
     if existing is None:
         return dense_ids(incoming, list(natural_key), id_col, last + 1, id_type)
-    known = existing.select(id_col, *[F.col(c).alias(f"_known_{c}") for c in natural_key])
+    known = unique_or_fail(existing.select(id_col, *natural_key), natural_key)
+    known = known.select(id_col, *[F.col(c).alias(f"_known_{c}") for c in natural_key])
     matched = incoming.join(known, null_safe_match(natural_key, "_known_"), "left")
     return fill_ids(matched.select(id_col, *incoming.columns), id_col, list(natural_key), last, id_type)

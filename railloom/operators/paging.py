@@ -6,12 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from railloom.operators.numbering import dense_ids
-
-# Up to this many rows a page comes out of per-task heaps; a deeper page is found by distributed numbering.
-HEAP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -29,14 +23,14 @@ class Page:
 
 
 def take_page(df: DataFrame, order_by: Sequence[str], page: int = 1, page_size: int = 20) -> DataFrame:
-    """O2: rows (page-1)*size .. page*size of the given total order."""
+    """O2: rows (page-1)*size .. page*size of the given total order.
+
+    Spark keeps the first skip + size rows of every task, so the memory grows with the page number, not the data.
+    """
     if page < 1 or page_size < 1:
         raise ValueError("page and page_size start at 1")
     skip = (page - 1) * page_size
-    if skip + page_size <= HEAP_ROWS:
-        return df.orderBy(*order_by).offset(skip).limit(page_size)
-    numbered = dense_ids(df, list(order_by), "_nr", id_type="long")
-    return numbered.where(F.col("_nr").between(skip + 1, skip + page_size)).drop("_nr")
+    return df.orderBy(*order_by).offset(skip).limit(page_size)
 
 
 def preview(df: DataFrame, rows: int = 3) -> DataFrame:

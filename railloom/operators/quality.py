@@ -26,6 +26,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; a key that occurs twice (NULL equals NULL) fails the job that reads them."""
+    others = [c for c in df.columns if c not in keys]
+    n = F.count(F.lit(1)).alias("_n")
+    counted = df.groupBy(*keys).agg(n, *[F.first(F.col(f"`{c}`")).alias(c) for c in others])
+    name = F.concat(F.lit("repeated key "), F.to_json(F.struct(*keys)))
+    once = F.when(F.col("_n") > 1, F.raise_error(name).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(once).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Non-null foreign keys without a parent; empty when the reference holds."""
     keys = child.select(F.col(fk).alias(pk)).where(F.col(pk).isNotNull()).distinct()

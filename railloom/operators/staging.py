@@ -5,26 +5,19 @@ A staged table survives the loss of executors and pins down what a later pass re
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_local_fallback: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by the session; a temporary one only for a local master without the setting."""
+    """Folder named by the session."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="railloom-")
-    return _local_fallback[app]
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

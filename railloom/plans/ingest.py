@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from railloom.sources.zones import Zone
 
 log = logging.getLogger(__name__)
 
+INTERMODAL = "intermodal"
+SNAPSHOT_TABLES = ("dim_gare", "dim_operateur", "dim_route", "dim_train", "dim_date", "fact_trajet_train")
+
 
 @dataclass(frozen=True)
 class Landing:
@@ -51,7 +55,7 @@ def jobs(spark: SparkSession, landing: Landing) -> Iterable[Job]:
             lambda e=entity: clean.clean_night_entity(read(spark, landing.path(e.file)), e),
         )
     yield (
-        "intermodal",
+        INTERMODAL,
         lambda: intermodal_star(landed.read_unknown_dialect(spark, landing.path("intermodal.csv"))),
     )
     yield (
@@ -73,21 +77,27 @@ def jobs(spark: SparkSession, landing: Landing) -> Iterable[Job]:
     yield (
         "sncf_emissions",
         lambda: clean.clean_emission_records(
-            landed.records_of(landed.read_pages(spark, landing.path("sncf_emissions")))
+            landed.complete_records(landed.read_pages(spark, landing.path("sncf_emissions")))
         ),
     )
 
 
 def _load(zone: Zone, name: str, job: Callable) -> dict[str, str]:
+    """A table is merged into the zone; several tables are one snapshot, which replaces the one before.
+
+    The ids inside a snapshot are positions in its file, so they mean nothing to another version of it.
+    """
     try:
         made = job()
-        bundle = made if isinstance(made, dict) else {name: made}
-        return {
-            table: "loaded" if zone.load(table, df) is not None else "empty" for table, df in bundle.items()
-        }
-    except (PySparkException, ValueError) as error:
+        if isinstance(made, dict):
+            if all(df.isEmpty() for df in made.values()):
+                return dict.fromkeys(made, "empty")
+            zone.replace(made)
+            return dict.fromkeys(made, "loaded")
+        return {name: "loaded" if zone.load(name, made) is not None else "empty"}
+    except (PySparkException, Py4JJavaError, ValueError) as error:  # a failing task arrives as the second
         log.warning("source %s skipped: %s", name, error)
-        return {name: "skipped"}
+        return dict.fromkeys(SNAPSHOT_TABLES if name == INTERMODAL else [name], "skipped")
 
 
 def ingest(spark: SparkSession, landing: Landing, zone: Zone, at_once: int = 4) -> dict[str, str]:

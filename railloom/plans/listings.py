@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +27,9 @@ from railloom.operators.predicates import (
     holds_id,
     where_all,
 )
+from railloom.operators.staging import stage
 
-# A page of at most this many rows is brought to the driver, as the caller would do, and its keys become
-# scan filters on the dimensions. A larger page is joined as it is.
-LOCAL_PAGE_ROWS = 1_000
-
+# The fields of the answers.
 GARE = ("gare_id", "name", "city", "country", "latitude", "longitude", "is_main_station")
 ROUTE = ("route_id", "agency_id", "route_long_name", "origin", "destination", "countries")
 TRAIN = (
@@ -142,18 +141,17 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[f"{prefix}_{c}" for c in df.columns])
 
 
-def decorate(page: DataFrame, star: Star, page_size: int | None = None) -> DataFrame:
-    """Nest the five dimensions into the rows of a page; an unknown key gives NULL."""
-    keys: dict[str, list] | None = None
-    if page_size is not None and page_size <= LOCAL_PAGE_ROWS:
-        rows = page.collect()  # at most LOCAL_PAGE_ROWS
-        page = page.sparkSession.createDataFrame(rows, page.schema)
-        keys = {c: sorted({r[c] for r in rows if r[c] is not None}) for c in LINKS}
+def decorate(page: DataFrame, star: Star) -> DataFrame:
+    """Nest the five dimensions into the rows of a page; an unknown key gives NULL.
+
+    The page is staged, so its size is known to the planner; every dimension is reduced to the keys of the page
+    before it is joined.
+    """
+    page = stage(page, "page")
 
     def only(dim: DataFrame, pk: str, *fks: str) -> DataFrame:
-        if keys is None:
-            return dim
-        return dim.where(F.col(pk).isin([v for fk in fks for v in keys[fk]]))
+        wanted = reduce(DataFrame.union, [page.select(F.col(fk).alias(pk)) for fk in fks])
+        return dim.join(wanted, pk, "left_semi")
 
     gares = only(stations(star.dim_gare), "gare_id", "gare_depart_id", "gare_arrivee_id")
     sides = (
@@ -188,7 +186,7 @@ def list_journeys(
     needed = [c for c in matches.columns if c in {*JOURNEY, *LINKS, *order_by}]
     rows = take_page(matches.select(*needed), order_by, page, page_size)
     extra = [c for c in needed if c not in (*JOURNEY, *LINKS)]
-    shaped = decorate(rows, star, page_size)
+    shaped = decorate(rows, star)
     data = shaped.orderBy(*[c for c in order_by if c in shaped.columns]).drop(*extra)
     return Page(matches, data, page, page_size)
 
@@ -196,7 +194,7 @@ def list_journeys(
 def journey_detail(star: Star, fact_id: int) -> DataFrame:
     """QRY2: one journey with its dimensions; 0 or 1 row."""
     found = by_key(star.facts, "fact_id", fact_id).select(*JOURNEY, *LINKS)
-    return decorate(found, star, 1)
+    return decorate(found, star)
 
 
 def journey_dates(star: Star, fact_id: int) -> DataFrame:

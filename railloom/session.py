@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,7 @@ def local_session(name: str, cpus: str | None = None, **conf: str) -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("RAILLOOM_DRIVER_MEMORY", "8g"))
     )
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="railloom-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

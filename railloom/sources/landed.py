@@ -181,6 +181,14 @@ def missing_records(pages: DataFrame) -> DataFrame:
     )
 
 
+def complete_records(pages: DataFrame) -> DataFrame:
+    """The records of all pages; paging that stopped before the announced total is an error."""
+    missing = missing_records(pages).head()["missing"]
+    if missing > 0:
+        raise ValueError(f"{missing} announced records were not landed")
+    return records_of(pages)
+
+
 def first_csv_resource(manifests: DataFrame, key: str = "id") -> DataFrame:
     """Per manifest, the url of its first CSV resource (format in any case)."""
     listed = manifests.select(key, F.posexplode("resources").alias("at", "r"))

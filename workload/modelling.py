@@ -96,7 +96,7 @@ def dense_order_ids(t: Tables) -> DataFrame:
 
 @register(
     """WITH known AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 3 = 0),
-    incoming AS (SELECT c_name AS name, c_acctbal FROM customer WHERE c_custkey % 2 = 0)
+    incoming AS (SELECT c_name AS name, c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 <> 0)
     SELECT coalesce(id, (SELECT max(id) FROM known) +
              row_number() OVER (PARTITION BY id IS NULL ORDER BY incoming.name)) AS id,
            incoming.name, c_acctbal
@@ -107,7 +107,7 @@ def ids_kept_on_reload(t: Tables) -> DataFrame:
     known = t.customer.where("c_custkey % 3 = 0").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
     )
-    incoming = t.customer.where("c_custkey % 2 = 0").select(F.col("c_name").alias("name"), "c_acctbal")
+    incoming = t.customer.where("c_custkey % 2 = 0 OR c_custkey % 3 <> 0").select(F.col("c_name").alias("name"), "c_acctbal")
     return numbering.keyed_ids(incoming, known, ["name"], "id", "long")
 
 
@@ -233,7 +233,7 @@ def union_stations_priority(t: Tables) -> DataFrame:
       FROM customer WHERE c_custkey % 3 <> 0),
     fresh AS (SELECT CASE WHEN c_custkey = 2 THEN NULL ELSE c_custkey END AS k,
       CASE WHEN c_custkey = 2 THEN (SELECT n FROM old WHERE k IS NULL) ELSE c_nationkey END AS n,
-      CASE WHEN c_custkey % 10 <> 4 THEN c_acctbal + 100 END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0)
+      CASE WHEN c_custkey % 10 <> 4 THEN c_acctbal + 100 END AS c_acctbal FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0)
     SELECT coalesce(old.k, fresh.k) AS k, coalesce(old.n, fresh.n) AS n, c_name,
       CASE WHEN fresh.n IS NOT NULL THEN fresh.c_acctbal ELSE old.c_acctbal END AS c_acctbal
     FROM old FULL OUTER JOIN fresh ON old.k IS NOT DISTINCT FROM fresh.k AND old.n = fresh.n"""
@@ -247,10 +247,10 @@ def upsert_customers(t: Tables) -> DataFrame:
         "c_name",
         "c_acctbal",
     )
-    other = c.where("c_custkey = 1").select(F.col("c_nationkey").alias("_n1"))
+    other = c.where("c_custkey = 1").select(F.lit(2).cast("long").alias("c_custkey"), F.col("c_nationkey").alias("_n1"))
     fresh = (
-        c.where("c_custkey % 2 = 0")
-        .join(other, F.col("c_custkey") == 2, "left")
+        c.where("c_custkey % 2 = 0 OR c_custkey % 3 = 0")
+        .join(other, "c_custkey", "left")
         .select(
             F.when(F.col("c_custkey") != 2, F.col("c_custkey")).alias("k"),
             F.coalesce("_n1", "c_nationkey").alias("n"),
@@ -262,13 +262,13 @@ def upsert_customers(t: Tables) -> DataFrame:
 
 @register(
     """SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0
-    UNION SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0"""
+    UNION SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 1"""
 )
 def insert_only_upsert(t: Tables) -> DataFrame:
     """S12 when every column is key."""
     pairs = t.orders.select("o_custkey", "o_orderstatus", "o_orderkey")
     old = pairs.where("o_orderkey % 2 = 0").drop("o_orderkey").distinct()
-    fresh = pairs.where("o_orderkey % 3 = 0").drop("o_orderkey").distinct()
+    fresh = pairs.where("o_orderkey % 3 = 0 OR o_orderkey % 2 = 1").drop("o_orderkey").distinct()
     return merge.merge_upsert(old, fresh, ["o_custkey", "o_orderstatus"])
 
 
@@ -310,12 +310,12 @@ def repeated_keys(t: Tables) -> DataFrame:
 
 
 @register(
-    """SELECT DISTINCT doc_id FROM labels WHERE doc_id IS NOT NULL
-    AND doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en')"""
+    """SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL
+    AND doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""
 )
-def orphan_labels(t: Tables) -> DataFrame:
-    """Foreign-key check: keys without a parent."""
-    return quality.orphans(t.labels, "doc_id", t.documents.where("lang = 'en'"), "doc_id")
+def unlabelled_documents(t: Tables) -> DataFrame:
+    """Foreign-key check: keys without a parent, here documents without a label."""
+    return quality.orphans(t.documents, "doc_id", t.labels, "doc_id")
 
 
 @register("SELECT * FROM region ORDER BY r_regionkey LIMIT 3")
@@ -535,8 +535,8 @@ def intermodal_routes(t: Tables) -> DataFrame:
     return intermodal.routes(intermodal.prepare(views.connections(t)))
 
 
-SQL_I_TRAIN = f"""i_train AS (SELECT 'TR_' || left(md5('=' || origin || '|=' || destination || '|'
-    || coalesce('=' || operator, '-') || '|=' || distance), 16) AS trip_id, route_id, destination AS trip_headsign,
+SQL_I_TRAIN = f"""i_train AS (SELECT 'TR_' || left(md5(length(origin) || ':' || origin || '|' || length(destination) || ':' || destination || '|'
+    || coalesce(length(operator) || ':' || operator, '-') || '|' || length(distance) || ':' || distance), 16) AS trip_id, route_id, destination AS trip_headsign,
   t.origin, t.destination, CAST(distance AS DOUBLE) AS distance, FALSE AS is_night_train, {ORDER}
   FROM (SELECT *, row_number() OVER (PARTITION BY origin, destination, operator, distance ORDER BY {ORDER}) AS rn
         FROM connections WHERE origin IS NOT NULL AND destination IS NOT NULL) t

@@ -119,7 +119,7 @@ def date_from_text(t: Tables) -> DataFrame:
 @register(
     """SELECT s_suppkey, 'OP_' || left(md5(s_name), 8) AS operator_id, s_name || ' - ' || n AS pair,
       CASE WHEN n IS NOT NULL THEN 'OP_' || left(md5(n), 8) END AS maybe_id,
-      'TR_' || left(md5('=' || s_name || '|' || coalesce('=' || n, '-')), 16) AS trip_id
+      'TR_' || left(md5(length(s_name) || ':' || s_name || '|' || coalesce(length(n) || ':' || n, '-')), 16) AS trip_id
     FROM (SELECT *, CASE WHEN s_suppkey % 2 = 0 THEN 'N' || s_nationkey END AS n FROM supplier)"""
 )
 def stable_ids(t: Tables) -> DataFrame:
