@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,3 +85,32 @@ def texts_from(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def packed(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns ``keep`` and ``packed``, the compressed text, for joins that move whole texts. No text may be null."""
+    types = dict(df.dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["packed binary"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            blobs = pa.array([press(t.as_buffer()) for t in batch.column(text)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], blobs], [*keep, "packed"])
+
+    return df.select(*keep, text).mapInArrow(run, schema)
+
+
+def unpacked(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with the bytes of the texts as last column, ``text``."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    names = [n for n in batch.schema.names if n != "packed"]
+    blobs = batch.column("packed")
+    at, texts, size = 0, [], 0
+    for row in range(len(batch)):
+        texts.append(unpack(blobs[row].as_py()))
+        size += len(texts[-1])
+        if size >= limit or row + 1 == len(batch):
+            part = batch.slice(at, len(texts))
+            yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(texts, pa.binary())], [*names, "text"])
+            at, texts, size = row + 1, [], 0

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import flat_bytes, slices
+from railloom.llm.batches import flat_bytes, packed, slices
 from railloom.operators.staging import stage
 
 SPAN = 200
@@ -137,18 +137,6 @@ def parse(rows: DataFrame, span: int, trigger: int) -> DataFrame:
     return rows.mapInArrow(work, "trigger long, phrase long, n long, doc_id long, copy long, place long")
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """doc_id, copy and the compressed text, for joins that move whole texts."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            blobs = [press(t.as_buffer()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(blobs, pa.binary())], ["doc_id", "copy", "packed"])
-
-    return rows.mapInArrow(work, "doc_id long, copy long, packed binary")
-
-
 def suffix_classes(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
     """Rank of the string of ``span`` bytes at each start, in suffix order; equal strings have equal ranks.
 
@@ -269,7 +257,7 @@ def repeated(rows: DataFrame, span: int = SPAN, trigger: int = TRIGGER) -> DataF
     again = parse(rows, span, trigger).join(mixed, "trigger")
     distinct = again.groupBy("trigger", "phrase").agg(F.sum("n").alias("n"), F.first("blocks").alias("blocks"), *[F.first(c).alias(c) for c in place])
     salted = distinct.withColumn("salt", F.pmod(F.col("phrase"), F.col("blocks")).cast("int"))
-    resolved = stage(resolve(contexts(salted, packed(rows), span), span), "dictionary")
+    resolved = stage(resolve(contexts(salted, packed(rows, ["doc_id", "copy"]), span), span), "dictionary")
     merged = (
         resolved.where("print IS NOT NULL").groupBy("trigger", "print").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in place]).where("n = 1")
     )
@@ -295,7 +283,7 @@ def remove(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int
     rows = rows.withColumn("copy", F.xxhash64("text") if repeats else F.lit(0).cast("long"))
     unique = repeated(rows, span, trigger)
     per_doc = unique.groupBy("doc_id", "copy").agg(F.collect_list("place").alias("places")).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "places")
-    texts = packed(rows)
+    texts = packed(rows, ["doc_id", "copy"])
     joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["_id"]) & (texts["copy"] == per_doc["_copy"]), "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,9 +3,8 @@
 Documents with equal sets form a class, and one row stands for the class. The shingles of a set are put in a global
 order, common ones last (heavy hitters are counted over all documents), and a set is indexed by as many of its first
 shingles as similarity asks for. The list of a shingle is sorted by set size; a set skips, block by block, what its
-size and the positions in both sets rule out. Pairs that are left are verified exactly. Partners are grouped around
-the set with which they were found: its overlap with each is computed once, and the overlap of two of its partners
-follows from the little in which each differs from it.
+size and the positions in both sets rule out. Pairs that are left are verified exactly, with each set travelling
+once to the family it belongs to: what is computed for one set there serves all sets that are close to it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import flat_bytes, slices
+from railloom.llm.batches import flat_bytes, packed, slices, unpacked
 from railloom.llm.components import connected
 from railloom.operators.staging import stage
 
@@ -29,6 +28,7 @@ BLOCK = 32
 #: HEAVY_SHARE x (mean set size) of them, which bounds what is broadcast.
 HEAVY_SHARE = 4000
 WINDOW_SHINGLES = 1 << 22
+MEETING_SETS = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -170,14 +170,14 @@ def set_rows(rows: DataFrame) -> DataFrame:
 
 
 def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """The indexed shingles of every class: shingle, doc_id, n, place; rows need text and doc_id."""
+    """The indexed shingles of every class: shingle, doc_id, n, place; rows have doc_id and packed texts."""
     shared = rows.sparkSession.sparkContext.broadcast(heavy)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(shared.value)
         keys = shared.value[order]
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in unpacked(batch):
                 shingles, sizes = _sets_of(part)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 rank = np.zeros(len(shingles), np.int64)
@@ -265,42 +265,76 @@ def candidates(indexed: DataFrame) -> DataFrame:
     return indexed.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(work, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that link, with their overlap: a, b, overlap.
+def meetings(pairs: DataFrame) -> DataFrame:
+    """Where sets meet to be compared: hub, part, other, doc_id and the partners of the document there.
 
-    The sets travel once to every hub (the smaller id of a pair): a hub meets its partners one by one, in the order
-    of their ids, so a task holds one hub and a slice of partners.
+    A pair meets at the smallest id near its first document, found by passing the smallest neighbour on twice, so
+    a family of similar sets has one hub. The sets of a large hub are dealt to blocks by hash, and each pair of
+    blocks meets on its own: a set travels once per block it has partners in, not once per partner.
     """
-    sides = pairs.select(F.col("a").alias("hub"), F.col("b").alias("doc_id")).union(pairs.select(F.col("a").alias("hub"), F.col("a").alias("doc_id")).distinct())
-    needed_texts = texts.join(sides.select("doc_id").distinct(), "doc_id", "left_semi")
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    label = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("hub"))
+    near = both.join(label.select(F.col("x").alias("y"), "hub"), "y").groupBy("x").agg(F.min("hub").alias("m"))
+    label = stage(label.join(near, "x").select(F.col("x").alias("a"), F.least("hub", "m").alias("hub")), "set-hubs")
+    placed = pairs.join(label, "a")
+    sides = placed.select("hub", F.col("a").alias("doc_id")).union(placed.select("hub", F.col("b").alias("doc_id"))).distinct()
+    sizes = sides.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / MEETING_SETS).alias("blocks"))
+    found = placed.join(sizes, "hub").select(
+        "hub", "a", "b", *[F.pmod(F.xxhash64(c), F.col("blocks")).cast("int").alias(f"block_{c}") for c in ("a", "b")]
+    )
+    part, other = F.least("block_a", "block_b").alias("part"), F.greatest("block_a", "block_b").alias("other")
+    found = stage(found.select("hub", part, other, "a", "b"), "set-meetings")
+    first = found.select("hub", "part", "other", F.col("a").alias("doc_id"), F.col("b").alias("partner"))
+    second = found.select("hub", "part", "other", F.col("b").alias("doc_id"), F.lit(None).cast("long").alias("partner"))
+    return first.union(second).groupBy("hub", "part", "other", "doc_id").agg(F.collect_set("partner").alias("partners"))
+
+
+def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs that link, with their overlap: a, b, overlap."""
+    met = meetings(pairs)
+    needed_rows = packed(rows, ["doc_id"]).join(met.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in unpacked(batch):
                 shingles, sizes = _sets_of(part)
                 edges = np.concatenate([[0], np.cumsum(sizes)])
                 blobs = [shingles[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "shingles"])
 
-    found = needed_texts.select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles binary")
-    met = sides.join(found, "doc_id").repartition("hub").sortWithinPartitions("hub", "doc_id")
+    found = needed_rows.select("doc_id", "packed").mapInArrow(sets, "doc_id long, shingles binary")
+    key = ["hub", "part", "other"]
+    dealt = met.join(found, "doc_id").repartition(*key).sortWithinPartitions(*key)
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, own = None, np.zeros(0, np.uint64)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for h, d, blob in zip(batch.column("hub").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                other = np.frombuffer(blob, np.uint64)
-                if h != hub:  # the hub has the smallest id of its group and comes first
-                    hub, own = h, other
-                    continue
+            columns = [batch.column(c).to_pylist() for c in (*key, "doc_id", "partners", "shingles")]
+            for *place, doc, partners, blob in zip(*columns, strict=True):
+                if place != here:
+                    out += links(held)
+                    here, held = place, []
+                held.append((doc, partners, np.frombuffer(blob, np.uint64)))
+            yield answer(out)
+        yield answer(links(held))
+
+    def links(held: list[tuple[int, list[int], np.ndarray]]) -> list[tuple[int, int, int]]:
+        known = {doc: own for doc, _, own in held}
+        out = []
+        for doc, partners, own in held:
+            for partner in partners:
+                other = known[partner]
                 at = np.minimum(np.searchsorted(own, other), len(own) - 1)
                 both = int((own[at] == other).sum())
                 if 100 * both >= SHARE * (len(own) + len(other) - both):
-                    out.append((h, d, both))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["a", "b", "overlap"])
+                    out.append((doc, partner, both))
+        return out
+
+    def answer(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["a", "b", "overlap"])
 
-    return met.select("hub", "doc_id", "shingles").mapInArrow(meet, "a long, b long, overlap long")
+    return dealt.select(*key, "doc_id", "partners", "shingles").mapInArrow(compare, "a long, b long, overlap long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -318,9 +352,9 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
     classes = stage(classes, "set-classes")
     members = sets.join(classes, ["print1", "print2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep_id", "doc_id").alias("rep_id"))
     heavy = heavy_hitters(rows, sets.count())
-    reps = rows.join(classes.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
-    pairs = stage(candidates(postings(reps, heavy)), "set-pairs")
-    return members, verified(pairs, reps)
+    reps = packed(rows, ["doc_id"]).join(classes.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
+    pairs = stage(candidates(postings(reps.select("doc_id", "packed"), heavy)), "set-pairs")
+    return members, verified(pairs, rows)
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
