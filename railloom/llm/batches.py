@@ -11,7 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 
 
 def carried(df: DataFrame, keep: list[str], made: list[str]) -> list[str]:
@@ -20,6 +21,12 @@ def carried(df: DataFrame, keep: list[str], made: list[str]) -> list[str]:
     return [c for c in dict.fromkeys(keep) if c.lower() not in taken]
 
 
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with batches of BATCH_BYTES: 10,000 long texts would not fit a worker. Sets this on the session."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def map_texts(
     df: DataFrame, text: str, keep: list[str], made: dict[str, str], work: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
@@ -39,7 +46,7 @@ def map_texts(
                 out = work(part.column(part.num_columns - 1))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *out], names=names)
 
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -98,7 +105,7 @@ def packed(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             blobs = pa.array([press(t.as_buffer()) for t in batch.column(text)], pa.binary())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], blobs], [*keep, "packed"])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return arrow_map(df.select(*keep, text), run, schema)
 
 
 def unpacked(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,17 +149,8 @@ def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_digests(spark: SparkSession, path: str) -> DataFrame:
     """From the files: the ids give count and checksum, the index the start."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            flat, offsets = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            crcs = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            columns = [batch.column("file"), batch.column("record"), batch.column("doc_id")]
-            columns += [pa.array(np.diff(offsets).astype(np.int64)), pa.array(crcs, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["file", "record", "doc_id", "n_tokens", "ids_crc32"])
-
-    read = records.read(spark, path).mapInArrow(check, "file int, record long, doc_id long, n_tokens long, ids_crc32 long")
+    made = {"n_tokens": "long", "ids_crc32": "long"}
+    read = records.scan(spark, path, made, lambda ids: (len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
     starts = records.read_index(spark, path).select("file", "record", "start")
     return read.join(starts, ["file", "record"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 

@@ -20,7 +20,7 @@ import struct
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,11 +29,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import int_lists, ragged, slices
+from railloom.llm.batches import arrow_map, ragged, slices
 
 HEAD, META = struct.Struct("<QI"), struct.Struct("<qBBI")
 MASK_SHIFT, MASK_ADD = 15, 0xA282EAD8
 TABLE_CHUNKS, TABLE_WORDS = 200_000, 300_000
+ARROW = {"int": pa.int32(), "long": pa.int64(), "array<int>": pa.list_(pa.int32())}
 
 #: Fixed value: the pre-tokenizer pattern of the public lower-case word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -54,8 +55,9 @@ def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     return length + struct.pack("<I", masked(length)) + payload + struct.pack("<I", masked(payload))
 
 
-def unframe(data: bytes, at: int = 0) -> Iterator[tuple[int | None, np.ndarray, int, int]]:
+def unframe(data: bytes | pa.Buffer, at: int = 0) -> Iterator[tuple[int | None, np.ndarray, int, int]]:
     """(doc_id, ids, offset of the payload, its length) of every record from ``at`` on; damage raises ValueError."""
+    data = memoryview(data)
     while at < len(data):
         if at + HEAD.size > len(data):
             raise ValueError(f"record at byte {at} is cut off")
@@ -180,7 +182,8 @@ def write(
                 yield pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], ["value"])
 
     # the writer of lines copies bytes as they are; the line feed it adds ends the frame
-    ordered.mapInArrow(records, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(f"{path}/data")
+    framed = arrow_map(ordered, records, "value binary")
+    framed.select(F.col("value").cast("string")).write.option("lineSep", "\n").text(f"{path}/data")
     _index(spark, path).write.parquet(f"{path}/index")
 
 
@@ -193,24 +196,21 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 def _index(spark: SparkSession, path: str) -> DataFrame:
     schema = "file int, record long, doc_id long, offset long, length long, n_tokens long, start_in_file long"
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_buffer().to_pybytes()
-                found = [(d, at, size, len(ids)) for d, ids, at, size in unframe(data)]
+                found = [(d, at, size, len(ids)) for d, ids, at, size in unframe(content.as_buffer())]
                 counts = np.array([f[3] for f in found], np.int64)
                 columns = [
                     pa.array([file] * len(found), pa.int32()),
                     pa.array(range(len(found)), pa.int64()),
-                    pa.array([f[0] for f in found], pa.int64()),
-                    pa.array([f[1] for f in found], pa.int64()),
-                    pa.array([f[2] for f in found], pa.int64()),
+                    *[pa.array([f[i] for f in found], pa.int64()) for i in range(3)],
                     pa.array(counts),
                     pa.array(np.cumsum(counts) - counts),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema_names(schema))
 
-    return _files(spark, path).mapInArrow(scan, schema)
+    return arrow_map(_files(spark, path), work, schema)
 
 
 def schema_names(schema: str) -> list[str]:
@@ -229,36 +229,37 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return index.join(firsts, "file").withColumn("start", F.col("base") + F.col("start_in_file")).drop("base", "start_in_file")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """All records from the files: file, record, doc_id and ids; every checksum is verified, damage fails the job."""
-    schema = "file int, record long, doc_id long, ids array<int>"
+def scan(spark: SparkSession, path: str, made: dict[str, str], of: Callable[[np.ndarray], tuple]) -> DataFrame:
+    """file, record and doc_id of all records and what ``of`` makes of their ids (``made``: name -> SQL type).
+
+    Every checksum is verified; damage fails the job.
+    """
+    schema = ", ".join(["file int, record long, doc_id long", *[f"{name} {kind}" for name, kind in made.items()]])
+    names, kinds = schema_names(schema), [pa.int32(), pa.int64(), pa.int64(), *[ARROW[k] for k in made.values()]]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
-                held: list[tuple[int | None, np.ndarray]] = []
-                first = size = 0
-                for doc_id, ids, _, _ in unframe(content.as_buffer().to_pybytes()):
-                    held.append((doc_id, ids))
+                held: list[tuple] = []
+                size = 0
+                for record, (doc_id, ids, _, _) in enumerate(unframe(content.as_buffer())):
+                    held.append((file, record, doc_id, *of(ids)))
                     size += len(ids)
                     if size > 1 << 19:
-                        yield _batch(file, first, held, schema)
-                        first, held, size = first + len(held), [], 0
-                if held:
-                    yield _batch(file, first, held, schema)
-
-    return _files(spark, path).mapInArrow(scan, schema)
-
-
-def _batch(file: int, first: int, held: list[tuple[int | None, np.ndarray]], schema: str) -> pa.RecordBatch:
-    ids = np.concatenate([ids for _, ids in held]).astype(np.int32)
-    columns = [
-        pa.array([file] * len(held), pa.int32()),
-        pa.array(range(first, first + len(held)), pa.int64()),
-        pa.array([d for d, _ in held], pa.int64()),
-        int_lists(ids, np.array([len(i) for _, i in held]), pa.int32()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, schema_names(schema))
+                        yield table_of(held)
+                        held, size = [], 0
+                yield table_of(held)
+
+    def table_of(held: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*held, strict=True) if held else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return arrow_map(_files(spark, path), work, schema)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """All records from the files: file, record, doc_id and ids."""
+    return scan(spark, path, {"ids": "array<int>"}, lambda ids: (ids.astype(np.int32),))
 
 
 def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:

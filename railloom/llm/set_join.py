@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import flat_bytes, packed, slices, unpacked
+from railloom.llm.batches import arrow_map, flat_bytes, packed, slices, unpacked
 from railloom.llm.components import connected
 from railloom.operators.staging import stage
 
@@ -146,7 +146,7 @@ def heavy_hitters(rows: DataFrame, total: int) -> np.ndarray:
         if size:
             yield heavy()
 
-    counted = rows.mapInArrow(local, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = arrow_map(rows, local, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     often = counted.where(F.col("n") >= max(6, total / HEAVY_SHARE / 2)).toArrow()
     shingles, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("n").to_numpy()
     return shingles[np.lexsort((shingles, counts))]
@@ -166,7 +166,7 @@ def set_rows(rows: DataFrame) -> DataFrame:
                 columns += [_signed(s[edges[1:]] - s[edges[:-1]]) for s in (sums, sums2)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print1", "print2"])
 
-    return rows.mapInArrow(work, "doc_id long, n_shingles long, print1 long, print2 long")
+    return arrow_map(rows, work, "doc_id long, n_shingles long, print1 long, print2 long")
 
 
 def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -192,7 +192,7 @@ def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
                 columns = [_signed(shingle), ids, pa.array(sizes[who].astype(np.int32)), pa.array(place[first].astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["shingle", "doc_id", "n", "place"])
 
-    return rows.mapInArrow(work, "shingle long, doc_id long, n int, place int")
+    return arrow_map(rows, work, "shingle long, doc_id long, n int, place int")
 
 
 def list_pairs(shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,7 +262,7 @@ def candidates(indexed: DataFrame) -> DataFrame:
             a, b = a[fresh], b[fresh]
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return indexed.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(work, "a long, b long").distinct()
+    return arrow_map(indexed.repartition("shingle").sortWithinPartitions("shingle"), work, "a long, b long").distinct()
 
 
 def meetings(pairs: DataFrame) -> DataFrame:
@@ -302,7 +302,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 blobs = [shingles[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "shingles"])
 
-    found = needed_rows.select("doc_id", "packed").mapInArrow(sets, "doc_id long, shingles binary")
+    found = arrow_map(needed_rows.select("doc_id", "packed"), sets, "doc_id long, shingles binary")
     key = ["hub", "part", "other"]
     dealt = met.join(found, "doc_id").repartition(*key).sortWithinPartitions(*key)
 
@@ -334,7 +334,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     def answer(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["a", "b", "overlap"])
 
-    return dealt.select(*key, "doc_id", "partners", "shingles").mapInArrow(compare, "a long, b long, overlap long")
+    return arrow_map(dealt.select(*key, "doc_id", "partners", "shingles"), compare, "a long, b long, overlap long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
