@@ -26,14 +26,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import flat_bytes, packed, slices
+from railloom.llm.batches import arrow_map, flat_bytes, packed, slices
 from railloom.operators.staging import stage
 
 SPAN = 200
 TRIGGER = 64
 #: Phrases of one trigger that a block of the dictionary holds; more are dealt to several blocks and merged by hash.
 BLOCK_PHRASES = 500
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 LENGTH_BITS = 12  # of a place: first start << LENGTH_BITS | number of strings - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,7 +134,7 @@ def parse(rows: DataFrame, span: int, trigger: int) -> DataFrame:
                 columns = [_signed(keys[new]), _signed(whole[new]), pa.array(counts), part.column("doc_id").take(owner), part.column("copy").take(owner), pa.array(place)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(work, "trigger long, phrase long, n long, doc_id long, copy long, place long")
+    return arrow_map(rows, work, "trigger long, phrase long, n long, doc_id long, copy long, place long")
 
 
 def suffix_classes(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
@@ -177,7 +177,7 @@ def contexts(places: DataFrame, texts: DataFrame, span: int) -> DataFrame:
                 columns += [pa.array([batch.column(c)[row].as_py()] * size, pa.int64()) for c in ("doc_id", "copy")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], ["trigger", "salt", "blocks", "n", "place", "doc_id", "copy", "bytes"])
 
-    return joined.select("doc_id", "copy", "packed", "wanted").mapInArrow(work, fields + ", doc_id long, copy long, bytes binary")
+    return arrow_map(joined.select("doc_id", "copy", "packed", "wanted"), work, fields + ", doc_id long, copy long, bytes binary")
 
 
 def resolve(dictionary: DataFrame, span: int) -> DataFrame:
@@ -237,7 +237,7 @@ def resolve(dictionary: DataFrame, span: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names)
 
     dealt = dictionary.repartition("trigger", "salt").sortWithinPartitions("trigger", "salt")
-    return dealt.mapInArrow(work, "trigger long, print long, n long, doc_id long, copy long, place long")
+    return arrow_map(dealt, work, "trigger long, print long, n long, doc_id long, copy long, place long")
 
 
 def repeated(rows: DataFrame, span: int = SPAN, trigger: int = TRIGGER) -> DataFrame:
@@ -299,8 +299,10 @@ def remove(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int
             columns = [batch.column("doc_id"), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array([len(r) for r in runs], pa.int64()), spans]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kept", "n_bytes", "n_removed", "n_spans", "removed"])
 
-    return joined.select("doc_id", "packed", "places").mapInArrow(
-        work, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, removed array<struct<start:bigint,end:bigint>>"
+    return arrow_map(
+        joined.select("doc_id", "packed", "places"),
+        work,
+        "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, removed array<struct<start:bigint,end:bigint>>",
     )
 
 
