@@ -186,12 +186,10 @@ def test_valid_only_and_explode_link(spark):
     assert rows(links.explode_link(df, "ids", dates, "d")) == [(1, 1, "one"), (3, None, "three")]
 
 
-def test_pages_tile_the_listing(spark, monkeypatch):
+def test_pages_tile_the_listing(spark):
     df = spark.createDataFrame([(i,) for i in range(95)], "k int").repartition(5)
-    for bound in (100_000, 0):  # heap path, numbered path
-        monkeypatch.setattr(paging, "HEAP_ROWS", bound)
-        pages = [sorted(values(paging.take_page(df, ["k"], p, 20), "k")) for p in range(1, 7)]
-        assert pages == [list(range(i, min(i + 20, 95))) for i in range(0, 120, 20)]
+    pages = [sorted(values(paging.take_page(df, ["k"], p, 20), "k")) for p in range(1, 7)]
+    assert pages == [list(range(i, min(i + 20, 95))) for i in range(0, 120, 20)]
     with pytest.raises(ValueError):
         paging.take_page(df, ["k"], 0)
 

@@ -247,7 +247,7 @@ def upsert_customers(t: Tables) -> DataFrame:
         "c_name",
         "c_acctbal",
     )
-    other = c.where("c_custkey = 1").select(F.lit(2).cast("long").alias("c_custkey"), F.col("c_nationkey").alias("_n1"))
+    other = c.where("c_custkey = 1").select((F.col("c_custkey") + 1).alias("c_custkey"), F.col("c_nationkey").alias("_n1"))
     fresh = (
         c.where("c_custkey % 2 = 0 OR c_custkey % 3 = 0")
         .join(other, "c_custkey", "left")
