@@ -9,7 +9,7 @@ once to the family it belongs to: what is computed for one set there serves all
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,6 +29,7 @@ BLOCK = 32
 HEAVY_SHARE = 4000
 WINDOW_SHINGLES = 1 << 22
 MEETING_SETS = 64
+SKETCH_WORDS = 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -153,7 +154,11 @@ def heavy_hitters(rows: DataFrame, total: int) -> np.ndarray:
 
 
 def set_rows(rows: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and a 128-bit print of every row's set."""
+    """doc_id, n_shingles, a 128-bit print and a sketch of every row's set.
+
+    The sketch has SKETCH_WORDS x 64 bits; a shingle flips one of them. Two sets whose sketches differ in k bits
+    differ in k shingles at least.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,9 +169,15 @@ def set_rows(rows: DataFrame) -> DataFrame:
                 sums2 = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles ^ _ODD[3]))])
                 columns = [part.column("doc_id"), pa.array(sizes.astype(np.int64))]
                 columns += [_signed(s[edges[1:]] - s[edges[:-1]]) for s in (sums, sums2)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print1", "print2"])
+                bits = (shingles >> np.uint64(20)) % np.uint64(SKETCH_WORDS * 64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                counts = np.bincount(owner * SKETCH_WORDS * 64 + bits.astype(np.int64), minlength=len(sizes) * SKETCH_WORDS * 64)
+                flat = np.packbits((counts & 1).astype(np.uint8)).tobytes()
+                width = SKETCH_WORDS * 8
+                columns.append(pa.array([flat[k * width : (k + 1) * width] for k in range(len(sizes))], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print1", "print2", "sketch"])
 
-    return arrow_map(rows, work, "doc_id long, n_shingles long, print1 long, print2 long")
+    return arrow_map(rows, work, "doc_id long, n_shingles long, print1 long, print2 long, sketch binary")
 
 
 def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -195,14 +206,18 @@ def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
     return arrow_map(rows, work, "shingle long, doc_id long, n int, place int")
 
 
-def list_pairs(shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def list_pairs(
+    shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs of whole lists: rows sorted by shingle. The larger set (or the larger id) probes.
 
     Within a list, sorted by size, a set looks at the range of sizes it can match, in blocks; a block whose largest
-    possible overlap is too small is skipped as a whole.
+    possible overlap is too small is skipped as a whole. Pairs whose sketches differ in more bits than linked sets can
+    differ in shingles are dropped.
     """
     order = np.lexsort((doc, n, shingle))
     shingle, doc, n, place = shingle[order], doc[order], n[order].astype(np.int64), place[order].astype(np.int64)
+    sketch = None if sketch is None else sketch[order]
     rows = np.arange(len(shingle))
     list_start = np.maximum.accumulate(np.where(np.r_[True, shingle[1:] != shingle[:-1]], rows, 0))
     list_no = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]])
@@ -224,6 +239,9 @@ def list_pairs(shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.nd
             fits = np.minimum(tail[x], tail[y]) >= overlap_needed(n[x], n[y])
             x, y = x[fits], y[fits]
             fits = doc[x] != doc[y]
+            if sketch is not None:
+                apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+                fits &= apart <= n[x] + n[y] - 2 * overlap_needed(n[x], n[y])
             lefts.append(np.minimum(doc[x], doc[y])[fits])
             rights.append(np.maximum(doc[x], doc[y])[fits])
         block = block + 1
@@ -234,27 +252,44 @@ def list_pairs(shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.nd
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def candidates(indexed: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) that share an indexed shingle and pass the filters of size and place."""
-    names = ["shingle", "doc_id", "n", "place"]
+def _by_list(rows: DataFrame, work: Callable[[list[pa.Array]], pa.RecordBatch], names: list[str], schema: str) -> DataFrame:
+    """Apply ``work`` to whole lists: rows of one shingle come together, in one batch or over several."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] | None = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in names]
-            if rest is not None:
-                columns = [np.concatenate([r, c]) for r, c in zip(rest, columns, strict=True)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last list may go on in the next batch
-            yield pairs([c[:cut] for c in columns])
-            rest = [c[cut:] for c in columns]
-        if rest is not None:
-            yield pairs(rest)
-
-    def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
-        shingle = columns[0]
-        alone = np.r_[True, shingle[1:] != shingle[:-1]] & np.r_[shingle[1:] != shingle[:-1], True] if len(shingle) else np.zeros(0, bool)
-        columns = [c[~alone] for c in columns]
-        a, b = list_pairs(*columns) if len(columns[0]) else (np.zeros(0, np.int64),) * 2
+            here = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            keys = here.column("shingle").to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))  # the last list may go on in the next batch
+            if cut:
+                yield work(here.slice(0, cut).combine_chunks())
+            rest = here.slice(cut)
+        if rest is not None and len(rest):
+            yield work(rest.combine_chunks())
+
+    return arrow_map(rows.select(*names).repartition("shingle").sortWithinPartitions("shingle"), run, schema)
+
+
+def shared(indexed: DataFrame) -> DataFrame:
+    """The postings of shingles that more than one set is indexed by."""
+    names = ["shingle", "doc_id", "n", "place"]
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        keys = rows.column("shingle").to_numpy()
+        edge = keys[1:] != keys[:-1]
+        several = pa.array(~(np.r_[True, edge] & np.r_[edge, True]))
+        return pa.RecordBatch.from_arrays([rows.column(c).combine_chunks().filter(several) for c in names], names)
+
+    return _by_list(indexed, work, names, "shingle long, doc_id long, n int, place int")
+
+
+def candidates(postings_: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) that share an indexed shingle and pass the filters of size, place and sketch."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        columns = [rows.column(c).to_numpy() for c in ("shingle", "doc_id", "n", "place")]
+        bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+        a, b = list_pairs(*columns, bits)
         if len(a):
             order = np.lexsort((b, a))
             a, b = a[order], b[order]
@@ -262,7 +297,8 @@ def candidates(indexed: DataFrame) -> DataFrame:
             a, b = a[fresh], b[fresh]
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return arrow_map(indexed.repartition("shingle").sortWithinPartitions("shingle"), work, "a long, b long").distinct()
+    sketched = postings_.join(sketches.dropDuplicates(["doc_id"]), "doc_id")
+    return _by_list(sketched, work, ["shingle", "doc_id", "n", "place", "sketch"], "a long, b long").distinct()
 
 
 def meetings(pairs: DataFrame) -> DataFrame:
@@ -353,7 +389,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
     members = sets.join(classes, ["print1", "print2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep_id", "doc_id").alias("rep_id"))
     heavy = heavy_hitters(rows, sets.count())
     reps = packed(rows, ["doc_id"]).join(classes.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
-    pairs = stage(candidates(postings(reps.select("doc_id", "packed"), heavy)), "set-pairs")
+    indexed = shared(postings(reps.select("doc_id", "packed"), heavy))
+    pairs = stage(candidates(indexed, sets.select("doc_id", "sketch")), "set-pairs")
     return members, verified(pairs, rows)
 
 
