@@ -78,8 +78,12 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, all columns; of rows that repeat both id and content, one."""
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(normalised(F.col(f"`{text}`")), 256).alias("text_sha256"), own.alias("row"))
-    kept = exact_groups(df, id_col, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    found = rows.join(kept, (F.col("text_sha256") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    again = F.row_number().over(Window.partitionBy("text_sha256", "doc_id").orderBy(F.char_length(F.col("row")[text]).desc(), F.col("row")[text]))
-    return found.withColumn("_n", again).where("_n = 1").select("row.*")
+    # one hash of id (null too) and content finds the rows again; join and window share its partitioning
+    rows = df.select(_row_key(F.col(f"`{id_col}`").cast("long"), F.sha2(normalised(F.col(f"`{text}`")), 256)).alias("key"), own.alias("row"))
+    kept = exact_groups(df, id_col, text).where("kept").select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("key"))
+    again = F.row_number().over(Window.partitionBy("key").orderBy(F.char_length(F.col("row")[text]).desc(), F.col("row")[text]))
+    return rows.join(kept, "key", "left_semi").withColumn("_n", again).where("_n = 1").select("row.*")
+
+
+def _row_key(id_: Column, sha: Column) -> Column:
+    return F.concat_ws(" ", F.coalesce(id_.cast("string"), F.lit("none")), sha)
