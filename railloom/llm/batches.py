@@ -28,11 +28,16 @@ def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def map_texts(
-    df: DataFrame, text: str, keep: list[str], made: dict[str, str], work: Callable[[pa.Array], list[pa.Array]]
+    df: DataFrame,
+    text: str,
+    keep: list[str],
+    made: dict[str, str],
+    work: Callable[[pa.Array], list[pa.Array]],
+    end: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """Columns ``keep`` plus ``made`` (name -> SQL type), from work(texts) over slices of a few megabytes.
 
-    A null text reaches ``work`` as an empty one.
+    A null text reaches ``work`` as an empty one. ``end`` runs when a task is through, to free what it holds.
     """
     kept = carried(df, keep, list(made))
     types = dict(df.dtypes)
@@ -45,6 +50,7 @@ def map_texts(
             for part in slices(batch, "_text_of_row"):
                 out = work(part.column(part.num_columns - 1))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *out], names=names)
+        end()
 
     return arrow_map(source, run, schema)
 

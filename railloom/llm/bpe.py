@@ -23,7 +23,7 @@ from railloom.llm.batches import int_lists, map_texts, ragged, texts_from
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 NO_RANK = np.int32(2**31 - 1)
-TABLE_WORDS = 400_000
+TABLE_WORDS = 300_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -200,4 +200,4 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", keep: tupl
         data, lengths = merges_of(vocabulary).decode(ids, counts)
         return [int_lists(ids, counts, pa.int32()), texts_from(data, lengths)]
 
-    return map_texts(df, text, list(keep), {"ids": "array<int>", "decoded": "string"}, work)
+    return map_texts(df, text, list(keep), {"ids": "array<int>", "decoded": "string"}, work, end=lambda: table_of(vocabulary).clear())
