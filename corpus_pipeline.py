@@ -17,8 +17,9 @@ from railloom.llm import bpe, content_sort, decontaminate, langid, set_join
 from railloom.llm.queries import bpe_digests
 from railloom.operators.staging import stage
 
-#: A document stays if its language has at least this share; what has no letters has none.
-LANGUAGE_SHARE = 0.5
+#: A document stays if its language has at least this share among all; what has no letters has none. Short clean texts
+#: fit two languages almost alike, so the share only sifts out what fits all of them badly.
+LANGUAGE_SHARE = 0.3
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def _rows(decided: DataFrame, keep: Column) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those that fit no learned language better than all others together."""
+    """Drops documents without letters and those in which no learned language stands out."""
     model = langid.learn(docs)
     found = langid.identify(_whole(docs), model, keep=("row",))
     return _rows(found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LANGUAGE_SHARE))
