@@ -17,9 +17,9 @@ from railloom.llm import bpe, content_sort, decontaminate, langid, set_join
 from railloom.llm.queries import bpe_digests
 from railloom.operators.staging import stage
 
-#: A document stays if its language has at least this share among all; what has no letters has none. Short clean texts
-#: fit two languages almost alike, so the share only sifts out what fits all of them badly.
-LANGUAGE_SHARE = 0.3
+#: A document stays if its language has this much more than an even share of all; what has no letters has none. Short
+#: clean texts fit several languages almost alike, so this only sifts out what fits all of them badly.
+ABOVE_EVEN = 1.2
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in which no learned language stands out."""
     model = langid.learn(docs)
     found = langid.identify(_whole(docs), model, keep=("row",))
-    return _rows(found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LANGUAGE_SHARE))
+    least = ABOVE_EVEN / len(model.languages) if len(model.languages) > 1 else 0.0
+    return _rows(found, (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
