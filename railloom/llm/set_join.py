@@ -3,8 +3,11 @@
 Documents with equal sets form a class, and one row stands for the class. The shingles of a set are put in a global
 order, common ones last (heavy hitters are counted over all documents), and a set is indexed by as many of its first
 shingles as similarity asks for. The list of a shingle is sorted by set size; a set skips, block by block, what its
-size and the positions in both sets rule out. Pairs that are left are verified exactly, with each set travelling
-once to the family it belongs to: what is computed for one set there serves all sets that are close to it.
+size and the positions in both sets rule out.
+
+Answers are derived from those of similar sets: each set is first compared with a leader of its lists alone. Sets
+that links connect then count as one, and only pairs between different components are looked at again. All pairs
+that are left are verified exactly, with each set travelling once to the family it belongs to.
 """
 
 from __future__ import annotations
@@ -181,14 +184,14 @@ def set_rows(rows: DataFrame) -> DataFrame:
 
 
 def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """The indexed shingles of every class: shingle, doc_id, n, place; rows have doc_id and packed texts."""
+    """The indexed shingles of every class: shingle, doc_id, n, place; rows need text and doc_id."""
     shared = rows.sparkSession.sparkContext.broadcast(heavy)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(shared.value)
         keys = shared.value[order]
         for batch in batches:
-            for part in unpacked(batch):
+            for part in slices(batch, "text"):
                 shingles, sizes = _sets_of(part)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 rank = np.zeros(len(shingles), np.int64)
@@ -206,50 +209,74 @@ def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
     return arrow_map(rows, work, "shingle long, doc_id long, n int, place int")
 
 
+def _can_link(n: np.ndarray, tail: np.ndarray, sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs size, place and sketch leave open."""
+    least = overlap_needed(n[x], n[y])
+    fits = (np.minimum(n[x], n[y]) >= needed(np.maximum(n[x], n[y]))) & (np.minimum(tail[x], tail[y]) >= least)
+    at = np.flatnonzero(fits)
+    apart = np.bitwise_count(sketch[x[at]] ^ sketch[y[at]]).sum(axis=1, dtype=np.int64)
+    fits[at] = apart <= (n[x] + n[y] - 2 * least)[at]
+    return fits
+
+
+def leader_pairs(shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per list, every set with the first set (by id) that it can link with and that has no such set before it.
+
+    One pair per row at most: what a set's likely twin links with is not asked again.
+    """
+    order = np.lexsort((doc, shingle))
+    shingle, doc, n, place, sketch = shingle[order], doc[order], n[order].astype(np.int64), place[order].astype(np.int64), sketch[order]
+    tail, left = n - place, np.arange(len(shingle))
+    firsts, seconds = [], []
+    while len(left):
+        keys = shingle[left]
+        begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        leader = np.repeat(left[begin], np.diff(np.r_[begin, len(left)]))
+        other = left != leader
+        x, y = left[other], leader[other]
+        same = doc[x] == doc[y]
+        fits = _can_link(n, tail, sketch, x, y) & ~same
+        firsts.append(doc[y[fits]])
+        seconds.append(doc[x[fits]])
+        left = x[~fits & ~same]
+    return (np.concatenate(firsts), np.concatenate(seconds)) if firsts else (np.zeros(0, np.int64),) * 2
+
+
 def list_pairs(
-    shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray | None = None
+    shingle: np.ndarray, doc: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, component: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of whole lists: rows sorted by shingle. The larger set (or the larger id) probes.
+    """Candidate pairs of whole lists between different components.
 
-    Within a list, sorted by size, a set looks at the range of sizes it can match, in blocks; a block whose largest
-    possible overlap is too small is skipped as a whole. Pairs whose sketches differ in more bits than linked sets can
-    differ in shingles are dropped.
+    A list is sorted by component and size; a set looks at the sets of components before its own, in blocks, and a
+    block whose largest possible overlap is too small is skipped as a whole.
     """
-    order = np.lexsort((doc, n, shingle))
+    order = np.lexsort((doc, n, component, shingle))
     shingle, doc, n, place = shingle[order], doc[order], n[order].astype(np.int64), place[order].astype(np.int64)
-    sketch = None if sketch is None else sketch[order]
-    rows = np.arange(len(shingle))
-    list_start = np.maximum.accumulate(np.where(np.r_[True, shingle[1:] != shingle[:-1]], rows, 0))
-    list_no = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]])
-    keys = list_no << 32 | n
-    low = np.maximum(list_start, np.searchsorted(keys, list_no << 32 | needed(n)))
+    sketch, component, rows = sketch[order], component[order], np.arange(len(shingle))
+    new_list = np.r_[True, shingle[1:] != shingle[:-1]]
+    new_part = new_list | np.r_[True, component[1:] != component[:-1]]
+    low = np.maximum.accumulate(np.where(new_list, rows, 0))
+    high = np.maximum.accumulate(np.where(new_part, rows, 0))
     tail = n - place  # shingles from here on: what two sets can have in common at most
-    n_blocks = -(-len(rows) // BLOCK)
-    best_tail = np.maximum.reduceat(tail, np.arange(n_blocks) * BLOCK)
-    least_size = np.minimum.reduceat(n, np.arange(n_blocks) * BLOCK)
+    edges = np.arange(-(-len(rows) // BLOCK)) * BLOCK
+    best_tail, least_size = np.maximum.reduceat(tail, edges), np.minimum.reduceat(n, edges)
     lefts, rights = [], []
-    probe, block = rows[low < rows], (low // BLOCK)[low < rows]
+    probe = rows[low < high]
+    block = low[probe] // BLOCK
     while len(probe):
         use = np.minimum(tail[probe], best_tail[block]) >= overlap_needed(n[probe], np.maximum(least_size[block], needed(n[probe])))
         p, b = probe[use], block[use]
         for k in range(BLOCK):
             other = b * BLOCK + k
-            fits = (other >= low[p]) & (other < p)
+            fits = (other >= low[p]) & (other < high[p])
             x, y = p[fits], other[fits]
-            fits = np.minimum(tail[x], tail[y]) >= overlap_needed(n[x], n[y])
-            x, y = x[fits], y[fits]
-            fits = doc[x] != doc[y]
-            if sketch is not None:
-                apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
-                fits &= apart <= n[x] + n[y] - 2 * overlap_needed(n[x], n[y])
+            fits = _can_link(n, tail, sketch, x, y) & (doc[x] != doc[y])
             lefts.append(np.minimum(doc[x], doc[y])[fits])
             rights.append(np.maximum(doc[x], doc[y])[fits])
         block = block + 1
-        going = block * BLOCK < probe
+        going = block * BLOCK < high[probe]
         probe, block = probe[going], block[going]
-    if not lefts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(lefts), np.concatenate(rights)
+    return (np.concatenate(lefts), np.concatenate(rights)) if lefts else (np.zeros(0, np.int64),) * 2
 
 
 def _by_list(rows: DataFrame, work: Callable[[list[pa.Array]], pa.RecordBatch], names: list[str], schema: str) -> DataFrame:
@@ -283,13 +310,17 @@ def shared(indexed: DataFrame) -> DataFrame:
     return _by_list(indexed, work, names, "shingle long, doc_id long, n int, place int")
 
 
-def candidates(postings_: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) that share an indexed shingle and pass the filters of size, place and sketch."""
+def candidates(lists: DataFrame, sketches: DataFrame, components_: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a < b) out of the lists: with leaders first; then, given components, what lies between them."""
+    between = components_ is not None
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         columns = [rows.column(c).to_numpy() for c in ("shingle", "doc_id", "n", "place")]
         bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-        a, b = list_pairs(*columns, bits)
+        if between:
+            a, b = list_pairs(*columns, bits, rows.column("component").to_numpy())
+        else:
+            a, b = leader_pairs(*columns, bits)
         if len(a):
             order = np.lexsort((b, a))
             a, b = a[order], b[order]
@@ -297,8 +328,12 @@ def candidates(postings_: DataFrame, sketches: DataFrame) -> DataFrame:
             a, b = a[fresh], b[fresh]
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    sketched = postings_.join(sketches.dropDuplicates(["doc_id"]), "doc_id")
-    return _by_list(sketched, work, ["shingle", "doc_id", "n", "place", "sketch"], "a long, b long").distinct()
+    names = ["shingle", "doc_id", "n", "place", "sketch"]
+    rows = lists.join(sketches, "doc_id")
+    if between:
+        rows = rows.join(components_.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        names.append("component")
+    return _by_list(rows, work, names, "a long, b long").distinct()
 
 
 def meetings(pairs: DataFrame) -> DataFrame:
@@ -376,9 +411,11 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, links): rows has doc_id, n_shingles and rep_id; links has a, b and overlap of linked representatives.
 
-    Rows with equal sets have one representative, the smallest id among them; links between different sets are
-    complete. Rows without words have an empty set, are their own representative and link with nothing. A null id
-    cannot be linked and is left out; rows that repeat an id count as one document only if their sets are equal.
+    Rows with equal sets have one representative, the smallest id among them. The links are verified and connect
+    all that links of the whole connect; a link between sets that others connect already may be left out, so that a
+    family of n similar sets does not give n^2 of them. Rows without words have an empty set, are their own
+    representative and link with nothing. A null id cannot be linked and is left out. Ids should be unique: of rows
+    that repeat an id with different texts any may stand for it.
     """
     rows = df.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
@@ -388,10 +425,13 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
     classes = stage(classes, "set-classes")
     members = sets.join(classes, ["print1", "print2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep_id", "doc_id").alias("rep_id"))
     heavy = heavy_hitters(rows, sets.count())
-    reps = packed(rows, ["doc_id"]).join(classes.select(F.col("rep_id").alias("doc_id")), "doc_id", "left_semi")
-    indexed = shared(postings(reps.select("doc_id", "packed"), heavy))
-    pairs = stage(candidates(indexed, sets.select("doc_id", "sketch")), "set-pairs")
-    return members, verified(pairs, rows)
+    reps = classes.select(F.col("rep_id").alias("doc_id")).distinct()
+    sketches = sets.select("doc_id", "sketch").join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # copies are indexed with their class and taken out of the short lists, which spares an exchange of all texts
+    lists = stage(shared(shared(postings(rows, heavy)).join(reps, "doc_id", "left_semi")), "set-lists")
+    near = stage(verified(stage(candidates(lists, sketches), "set-pairs"), rows), "set-links")
+    between = stage(candidates(lists, sketches, connected(near.select("a", "b"))), "set-pairs")
+    return members, near.union(verified(between, rows))
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
