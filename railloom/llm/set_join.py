@@ -17,10 +17,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import arrow_map, flat_bytes, packed, slices, unpacked
+from railloom.llm.batches import arrow_map, flat_bytes, packed, slices
 from railloom.llm.components import connected
 from railloom.operators.staging import stage
 
@@ -363,30 +364,22 @@ def meetings(pairs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs that link, with their overlap: a, b, overlap."""
     met = meetings(pairs)
-    needed_rows = packed(rows, ["doc_id"]).join(met.select("doc_id").distinct(), "doc_id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in unpacked(batch):
-                shingles, sizes = _sets_of(part)
-                edges = np.concatenate([[0], np.cumsum(sizes)])
-                blobs = [shingles[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "shingles"])
-
-    found = arrow_map(needed_rows.select("doc_id", "packed"), sets, "doc_id long, shingles binary")
     key = ["hub", "part", "other"]
-    dealt = met.join(found, "doc_id").repartition(*key).sortWithinPartitions(*key)
+    # the texts travel compressed, which is a third of their sets, and become sets where they meet
+    dealt = packed(rows, ["doc_id"]).join(met, "doc_id").repartition(*key).sortWithinPartitions(*key)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         here, held = None, []
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in (*key, "doc_id", "partners", "shingles")]
+            columns = [batch.column(c).to_pylist() for c in (*key, "doc_id", "partners", "packed")]
             for *place, doc, partners, blob in zip(*columns, strict=True):
                 if place != here:
                     out += links(held)
                     here, held = place, []
-                held.append((doc, partners, np.frombuffer(blob, np.uint64)))
+                data = np.frombuffer(unpack(blob), np.uint8)
+                held.append((doc, partners, shingle_sets(data, np.array([0, len(data)]))[0]))
             yield answer(out)
         yield answer(links(held))
 
@@ -405,7 +398,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     def answer(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], ["a", "b", "overlap"])
 
-    return arrow_map(dealt.select(*key, "doc_id", "partners", "shingles"), compare, "a long, b long, overlap long")
+    return arrow_map(dealt.select(*key, "doc_id", "partners", "packed"), compare, "a long, b long, overlap long")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
