@@ -1,28 +1,31 @@
 """Benchmark passages in documents, by the q-gram lemma: a filter in diagonal bands, then banded alignment.
 
-Texts are compared in lower case with everything but letters and digits joined to single blanks. A benchmark item is
-cut into overlapping windows. A region of a document that is within ``edits`` of a window of n bytes shares at least
-n + 1 - q - q * edits q-grams with it, on diagonals (place in the document minus place in the window) that differ by
-``edits`` at most. Diagonals are grouped into overlapping bands; a band that reaches the bound is verified by an
-alignment of the whole window that stays inside the band.
+Texts are compared in lower case with everything but letters and digits joined to single blanks. A benchmark item has
+a window at every place. A region of a document that is within ``edits`` of a window of n bytes shares at least
+n + 1 - q - q * edits q-grams with it, on diagonals (place in the document minus place in the item) that differ by
+``edits`` at most. The q-grams are indexed once per item: diagonals are grouped into overlapping bands, and where the
+q-grams of an item in a band reach the bound within a window, that window is verified by an alignment of the whole
+window that stays inside the band.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import map_texts
+from railloom.llm.batches import map_texts, ragged
 
 Q = 8  # bytes, so that a q-gram is one 64-bit number
-WINDOW, STEP = 80, 40
+WINDOW = 80
 EDIT_SHARE = 0.08
 SHORTEST = 24
 BAND = 32
+ALIGN_ROWS = 1 << 13
 #: Benchmark text that one pass over the documents holds; a larger benchmark takes several passes.
 BLOCK_BYTES = 4 << 20
 FILTER_BITS = 22
@@ -62,17 +65,38 @@ def grams(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    items: np.ndarray  # id of the item of each window
-    patterns: np.ndarray  # [window, byte], short windows padded with byte 1
-    lengths: np.ndarray
-    edits: np.ndarray
-    bounds: np.ndarray  # q-grams that a match shares at least
+    ids: np.ndarray  # of the items
+    data: np.ndarray  # bytes of all items, each filled up to a window with byte 1
+    begins: np.ndarray  # where the bytes of an item begin
+    counts: np.ndarray  # windows of an item, one at every place
+    widths: np.ndarray  # bytes of each of its windows
+    allowances: np.ndarray  # edits of each of its windows
+    bounds: np.ndarray  # q-grams that a match of a window shares at least
+    reach: int  # bytes of the longest item
     keys: np.ndarray  # distinct q-grams, ascending
     firsts: np.ndarray  # entries of a key: first and last + 1
-    windows: np.ndarray  # window and place of each entry
+    owners: np.ndarray  # item and place of each entry
     places: np.ndarray
     bits: np.ndarray  # which hashed q-grams exist
 
+    # every window written out, to look at; the search itself needs none of these
+
+    @cached_property
+    def items(self) -> np.ndarray:
+        return np.repeat(self.ids, self.counts)
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.repeat(self.widths, self.counts)
+
+    @cached_property
+    def edits(self) -> np.ndarray:
+        return np.repeat(self.allowances, self.counts)
+
+    @cached_property
+    def patterns(self) -> np.ndarray:
+        return self.data[ragged(self.begins, self.counts)[:, None] + np.arange(WINDOW)]
+
 
 def allowed(length: int) -> int:
     """Edits that leave the q-gram bound at two at least."""
@@ -80,32 +104,39 @@ def allowed(length: int) -> int:
 
 
 def build(items: list[tuple[int, str]]) -> Index:
-    windows: list[tuple[int, bytes]] = []
+    known: list[tuple[int, bytes]] = []
     for item, text in items:
         data, _ = normal_bytes([text])
         body = data[:-Q].tobytes().strip(b" ")
-        if len(body) < SHORTEST:
-            continue
-        starts = list(range(0, max(1, len(body) - WINDOW + 1), STEP))
-        if starts[-1] + WINDOW < len(body):
-            starts.append(len(body) - WINDOW)
-        windows += [(item, body[s : s + WINDOW]) for s in starts]
-    lengths = np.array([len(b) for _, b in windows], np.int64)
-    edits = np.array([allowed(int(n)) for n in lengths], np.int64)
-    patterns = np.ones((len(windows), WINDOW), np.uint8)
-    for n, (_, body) in enumerate(windows):
-        patterns[n, : len(body)] = np.frombuffer(body, np.uint8)
-    parts = [grams(np.frombuffer(b, np.uint8)) for _, b in windows]
+        if len(body) >= SHORTEST:
+            known.append((item, body))
+    sizes = np.array([len(b) for _, b in known], np.int64)
+    room = np.maximum(sizes, WINDOW)
+    widths = np.minimum(sizes, WINDOW)
+    edits = np.array([allowed(int(n)) for n in widths], np.int64)
+    parts = [grams(np.frombuffer(b, np.uint8)) for _, b in known]
     all_grams = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(windows)), [len(p) for p in parts])
+    owner = np.repeat(np.arange(len(known)), [len(p) for p in parts])
     place = np.concatenate([np.arange(len(p)) for p in parts]) if parts else np.zeros(0, np.int64)
     order = np.argsort(all_grams, kind="stable")
     keys, first = np.unique(all_grams[order], return_index=True)
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[(keys * _SPREAD) >> np.uint64(64 - FILTER_BITS)] = True
-    ids = np.array([i for i, _ in windows], np.int64)
-    bounds = lengths + 1 - Q - Q * edits
-    return Index(ids, patterns, lengths, edits, bounds, keys, np.append(first, len(order)), owner[order], place[order], bits)
+    return Index(
+        ids=np.array([i for i, _ in known], np.int64),
+        data=np.frombuffer(b"".join(b.ljust(WINDOW, b"\1") for _, b in known), np.uint8),
+        begins=np.cumsum(room) - room,
+        counts=room - WINDOW + 1,
+        widths=widths,
+        allowances=edits,
+        bounds=widths + 1 - Q - Q * edits,
+        reach=int(sizes.max(initial=0)),
+        keys=keys,
+        firsts=np.append(first, len(order)),
+        owners=owner[order],
+        places=place[order],
+        bits=bits,
+    )
 
 
 def _spread(hit: np.ndarray, reach: int, least: int) -> np.ndarray:
@@ -120,45 +151,77 @@ def _spread(hit: np.ndarray, reach: int, least: int) -> np.ndarray:
     return np.flatnonzero(hit & (np.cumsum(marks[:-1]) > 0))
 
 
-def band_candidates(index: Index, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(window, band) with enough common q-grams; band b holds the diagonals from b * BAND on, BAND + edits of them."""
+def band_candidates(index: Index, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, band, window) with enough common q-grams, the window given by its place in the item.
+
+    Band b holds the diagonals from b * BAND - reach on, BAND + edits of them.
+    """
     found = grams(data)
     hit = index.bits[(found * _SPREAD) >> np.uint64(64 - FILTER_BITS)]
-    places = _spread(hit, WINDOW + int(index.edits.max()), int(index.bounds.min()))
+    places = _spread(hit, WINDOW + int(index.allowances.max()), int(index.bounds.min()))
     at = np.minimum(np.searchsorted(index.keys, found[places]), len(index.keys) - 1)
     true = index.keys[at] == found[places]
     places, at = places[true], at[true]
     per_place = index.firsts[at + 1] - index.firsts[at]
-    entry = np.repeat(index.firsts[at] - (np.cumsum(per_place) - per_place), per_place) + np.arange(int(per_place.sum()))
-    window = index.windows[entry]
-    diagonal = np.repeat(places, per_place) - index.places[entry] + WINDOW
+    entry = ragged(index.firsts[at], per_place)
+    item, inside = index.owners[entry], index.places[entry]
+    diagonal = np.repeat(places, per_place) - inside + index.reach
     band = diagonal // BAND
-    early = diagonal - band * BAND < index.edits[window]  # also within reach of the band before
-    keys = np.concatenate([window << 40 | band, (window << 40 | (band - 1))[early]])
-    pairs, counts = np.unique(keys, return_counts=True)
-    window, band = pairs >> 40, pairs & ((1 << 40) - 1)
-    enough = counts >= index.bounds[window]
-    return window[enough], band[enough]
+    early = diagonal - band * BAND < index.allowances[item]  # also within reach of the band before
+    keys = np.concatenate([item << 40 | band, (item << 40 | (band - 1))[early]])
+    inside = np.concatenate([inside, inside[early]])
+    pairs, group, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    item, band = pairs >> 40, pairs & ((1 << 40) - 1)
+    stays = counts[group] >= index.bounds[item[group]]
+    group, inside = group[stays], inside[stays]
+    order = np.lexsort((inside, group))
+    group, inside = group[order], inside[order]
+    # a window that holds the bound-th q-gram after this one and this one, too, reaches the bound
+    bound, width = index.bounds[item[group]], index.widths[item[group]]
+    there = np.minimum(np.arange(len(group)) + bound - 1, len(group) - 1)
+    holds = (np.arange(len(group)) + bound - 1 < len(group)) & (group[there] == group) & (inside[there] - inside <= width - Q)
+    low = (inside[there] - (width - Q))[holds]
+    high, group = inside[holds], group[holds]
+    # both ends ascend within a group: what an earlier stretch of windows holds is left out
+    again = np.r_[False, group[1:] == group[:-1]] if len(group) else np.zeros(0, bool)
+    low = np.maximum(low, np.where(again, np.r_[0, high[:-1] + 1][: len(high)], 0))
+    high = np.minimum(high, index.counts[item[group]] - 1)
+    size = np.maximum(high - low + 1, 0)
+    return np.repeat(item[group], size), np.repeat(band[group], size), ragged(low, size)
 
 
-def align(index: Index, data: np.ndarray, window: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least edits of the whole window against any stretch of text in the band, and where that stretch ends."""
-    slack = int(index.edits.max())
+def align(index: Index, data: np.ndarray, item: np.ndarray, band: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least edits of the whole window against any stretch of text in the band, and where that stretch ends.
+
+    More edits than any window is allowed may come out too high.
+    """
+    slack = int(index.allowances.max())
     width = BAND + 3 * slack + 1
-    start = band * BAND - WINDOW - slack
     column = np.arange(width)
-    cost = np.zeros((len(window), width), np.int32)
-    best, end = np.full(len(window), 1 << 20, np.int32), np.zeros(len(window), np.int64)
     padded = np.concatenate([np.zeros(2 * WINDOW, np.uint8), data, np.zeros(4 * WINDOW + width, np.uint8)])
-    for i in range(1, WINDOW + 1):
-        text = padded[(start + i - 1 + 2 * WINDOW)[:, None] + column]
-        step = cost + (text != index.patterns[window, i - 1][:, None])
-        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
-        cost = np.minimum.accumulate(step - column, axis=1) + column
-        done = index.lengths[window] == i
-        if done.any():
-            best[done] = cost[done].min(axis=1)
-            end[done] = start[done] + i + cost[done].argmin(axis=1)
+    best, end = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
+    for at in range(0, len(item), ALIGN_ROWS):
+        some = slice(at, at + ALIGN_ROWS)
+        start = band[some] * BAND - index.reach + window[some] - slack
+        text = padded[start + 2 * WINDOW + np.arange(WINDOW + width)[:, None]]
+        pattern = index.data[index.begins[item[some]] + window[some] + np.arange(WINDOW)[:, None]]
+        lengths = index.widths[item[some]]
+        ends_here = set(lengths.tolist())
+        # costs less their column, so that a byte of text that the window lacks adds nothing
+        cost = np.repeat(-column.astype(np.int16)[:, None], len(start), axis=1)
+        for i in range(1, WINDOW + 1):
+            step = cost + (text[i - 1 : i - 1 + width] != pattern[i - 1])
+            np.minimum(step[:-1], cost[1:] + np.int16(2), out=step[:-1])
+            run = 1
+            while run <= max(1, slack):  # runs of up to 2 * run - 1 such bytes
+                step[run:] = np.minimum(step[run:], step[:-run])
+                run *= 2
+            cost = step
+            if i in ends_here:
+                done = np.flatnonzero(lengths == i)
+                total = cost[:, done] + column[:, None]
+                best[at + done] = total.min(axis=0)
+                end[at + done] = start[done] + i + total.argmin(axis=0)
     return best, end
 
 
@@ -168,23 +231,25 @@ def matches(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, in
     Start and end count bytes of the normalised text.
     """
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-    if not len(index.items):
+    if not len(index.ids):
         return out
     data, begins = normal_bytes(texts)
-    window, band = band_candidates(index, data)
-    if not len(window):
+    item, band, window = band_candidates(index, data)
+    if not len(item):
         return out
-    best, end = align(index, data, window, band)
-    good = best <= index.edits[window]
-    window, best, end = window[good], best[good], end[good]
+    edits, end = align(index, data, item, band, window)
+    good = edits <= index.allowances[item]
+    item, edits, end = item[good], edits[good], end[good]
     owner = np.searchsorted(begins, end - 1, side="right") - 1
-    found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for w, n, edits, to in zip(window.tolist(), owner.tolist(), best.tolist(), end.tolist(), strict=True):
-        stop = to - int(begins[n])
-        key, value = (n, int(index.items[w])), (edits, max(0, stop - int(index.lengths[w])), stop)
-        found[key] = min(found.get(key, value), value)
-    for (n, item), (edits, start, stop) in sorted(found.items()):
-        out[n].append((item, start, stop, edits))
+    stop = end - begins[owner]
+    start = np.maximum(0, stop - index.widths[item])
+    name = index.ids[item]
+    order = np.lexsort((stop, start, edits, name, owner))
+    owner, name = owner[order], name[order]
+    first = order[np.r_[True, (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])]] if len(order) else order
+    columns = [x[first].tolist() for x in (np.searchsorted(begins, end - 1, side="right") - 1, index.ids[item], start, stop, edits)]
+    for n, *match in zip(*columns, strict=True):
+        out[n].append(tuple(match))
     return out
 
 
@@ -193,8 +258,9 @@ def find(
 ) -> DataFrame:
     """Columns ``keep`` plus ``matches``, an array of (item_id, start, end, edits), empty for a clean document.
 
-    A document matches an item if a stretch of it is within 8 % edits of 80 normalised bytes of the item, or of the
-    whole item where that is shorter. Items under 24 normalised bytes, null items and items without id match nothing;
+    A document matches an item if a stretch of it is within 8 % edits of 80 normalised bytes of the item, wherever in
+    the item they begin, or of the whole item where that is shorter. An excerpt of 80 bytes or more always matches, one
+    of under 74 bytes of a longer item never does. Items under 24 normalised bytes, null items and items without id match nothing;
     null, empty and short texts are clean. The benchmark is dealt by a hash of its ids to blocks of about
     ``block_bytes``; each block is broadcast and all documents pass it. A kept column called ``matches`` is replaced.
     """

@@ -240,6 +240,27 @@ def test_matches_are_those_of_plain_alignment():
     assert hits > 40
 
 
+def test_excerpts_match_wherever_they_are_cut():
+    rng = random.Random(21)
+    items = [(n, " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(40))) for n in range(6)]
+    index = decontaminate.build(items)
+    for length in (80, 81, 90, 100, 140):
+        docs, want = [], []
+        for n in range(60):
+            item, text = rng.choice(items)
+            at = rng.randint(0, len(text) - length)
+            passage = list(text[at : at + length].replace(" ", "x") if n % 10 == 9 else text[at : at + length])
+            for _ in range(rng.randint(0, 6) if n % 2 and n % 10 != 9 else 0):
+                passage[rng.randrange(1, len(passage) - 1)] = "z"
+            docs.append("zz " * rng.randint(0, 9) + "".join(passage) + " zz" * rng.randint(0, 9))
+            data = decontaminate.normal_bytes(docs[-1:])[0].tobytes()[: -decontaminate.Q]
+            near = [s for s in range(max(0, at - 6), min(len(text) - 80, at + length - 74) + 1)]
+            least = min(edit_distance_in(text[s : s + 80].encode(), data) for s in (near if n % 2 else [at]))
+            want.append({item: least} if least <= 6 else {})
+        assert [{i: k for i, _, _, k in got} for got in decontaminate.matches(index, docs)] == want
+        assert sum(map(len, want)) > 50
+
+
 def test_find_in_odd_documents(spark):
     passage = "benchmark question: which of the seven rivers flows from the north to the south, and why does it?"
     texts = [(i, t, lang) for i, t, lang in cases.TEXTS] + [(50, cases.LONG + " " + passage.upper() + cases.LONG, "en"), (51, passage.replace("rivers", "rivrs"), "en"), (52, passage[:40], "en")]
