@@ -160,8 +160,9 @@ def suffix_classes(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarra
 def contexts(places: DataFrame, texts: DataFrame, span: int) -> DataFrame:
     """The bytes of dictionary phrases, cut from the texts of their documents."""
     fields = "trigger long, salt int, blocks int, n long, place long"
-    per_doc = places.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("trigger", "salt", "blocks", "n", "place")).alias("wanted"))
-    joined = texts.join(per_doc, ["doc_id", "copy"])
+    wanted = F.collect_list(F.struct("trigger", "salt", "blocks", "n", "place")).alias("wanted")
+    per_doc = places.groupBy("doc_id", "copy").agg(wanted).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "wanted")
+    joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["_id"]) & (texts["copy"] == per_doc["_copy"]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress

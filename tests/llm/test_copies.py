@@ -174,6 +174,19 @@ def test_short_spans_against_brute_force(spark, monkeypatch, block):
     assert cut_rows(docs, span=20, trigger=8) == brute_cut([(n, t.encode()) for n, t in enumerate(texts)], 20)
 
 
+@pytest.mark.parametrize("block", [500, 1])
+@pytest.mark.parametrize("nulls", [1, 3])
+def test_rows_without_id_against_brute_force(spark, monkeypatch, block, nulls):
+    """Near copies of over 200 bytes, of which one row or several have no id."""
+    monkeypatch.setattr(phrase_dedup, "BLOCK_PHRASES", block)
+    rng = random.Random(31)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1500))
+    texts = [base[:n] + f"<{n}>" + base[n + 3 :] for n in (300, 450, 700, 900, 1100)]
+    rows = [(None if n < nulls else n, t) for n, t in enumerate(texts)]
+    docs = cases.documents(spark, [(i, t, None) for i, t in rows]).repartition(3)
+    assert cut_rows(docs) == brute_cut([(i, t.encode()) for i, t in rows], 200)
+
+
 def test_odd_documents_keep_what_is_unique(spark):
     texts = [(i, (t or "").encode()) for i, t, _ in cases.TEXTS if t != cases.LONG and t != cases.LONG + " end"]
     docs = cases.documents(spark).where("n_chars IS NULL AND (text IS NULL OR length(text) < 10000)")
