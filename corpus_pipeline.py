@@ -45,10 +45,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 80 % common shingles connect, the smallest id stays. Rows without id stay."""
-    groups = set_join.components(docs)
-    dropped = groups.where("component_id != doc_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    """Of documents that links of 80 % common shingles connect, the smallest id stays; where none has an id, one
+    text stays."""
+    groups = set_join.all_components(docs)
+    dropped = groups.where("component_id != key").select(F.col("key").alias("_dropped"))
+    return set_join.keyed(docs).join(dropped, F.col("_key_of_row") == F.col("_dropped"), "left_anti").drop("_key_of_row")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -428,8 +428,40 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id: the smallest id that links reach."""
+    """doc_id, n_shingles and component_id: the smallest id that links reach. Rows without id: ``all_components``."""
     members, links = join(df, id_col, text)
     labels = connected(stage(links.select("a", "b"), "set-links"))
     found = members.join(labels.select(F.col("id").alias("rep_id"), "component"), "rep_id", "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep_id").alias("component_id"))
+
+
+def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text", key: str = "_key_of_row") -> DataFrame:
+    """The rows and a key: the id, or for rows without one a hash of the text that is no row's id."""
+    null, blank = F.col(f"`{id_col}`").isNull(), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    own = F.col(f"`{id_col}`").cast("long")
+    without = df.where(null)
+    if not without.limit(1).count():
+        return df.withColumn(key, own)
+    salt = 0
+    while without.select(F.xxhash64(blank, F.lit(salt)).alias(key)).join(df.where(~null).select(own.alias(key)), key, "left_semi").limit(1).count():
+        salt += 1
+    return df.withColumn(key, F.when(null, F.xxhash64(blank, F.lit(salt))).otherwise(own))
+
+
+def all_components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``components`` with the rows that have no id: key, doc_id, n_shingles and component_id of every row.
+
+    The key is that of ``keyed``. The component is the smallest id in it as ever; where no row of it has an id, it is
+    the smallest key in it, which is no row's id. Rows without id and with equal texts have one key.
+    """
+    if not df.where(F.col(f"`{id_col}`").isNull()).limit(1).count():
+        return components(df, id_col, text).select(F.col("doc_id").alias("key"), "doc_id", "n_shingles", "component_id")
+    rows = keyed(df, id_col, text)
+    found = stage(components(rows, "_key_of_row", text), "set-components")
+    # a key tells a row without id from one with an id, as no key of the former is an id of the latter
+    keys = rows.where(F.col(f"`{id_col}`").isNull()).select(F.col("_key_of_row").alias("doc_id")).distinct().withColumn("null", F.lit(True))
+    known = found.join(keys, "doc_id", "left").select(
+        F.col("doc_id").alias("key"), F.when(F.col("null").isNull(), F.col("doc_id")).alias("doc_id"), "n_shingles", "component_id"
+    )
+    least = known.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return known.join(least, "component_id").select("key", "doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))

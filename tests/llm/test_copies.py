@@ -107,6 +107,28 @@ def test_set_join_of_odd_documents(spark):
     assert set_join.components(cases.empty(spark)).count() == 0
 
 
+def test_rows_without_id_have_components(spark, tmp_path):
+    family, alone = near_copies(12, 3, 5), near_copies(4, 5, 5)
+    texts = [(None if n % 3 == 0 else n + 50, t) for n, t in enumerate(family)] + [(None, t) for t in alone] + [(None, "one text"), (None, ""), (None, None), (7, "x")]
+    docs = cases.documents(spark, [(i, t, None) for i, t in texts])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stand_in = [(10**6 + n if i is None else i, t or "") for n, (i, t) in enumerate(texts)]
+    want = brute_components(stand_in)
+    rows = queries.op10_set_join(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    assert Counter((r["doc_id"], r["n_shingles"]) for r in rows) == Counter((i, want[s][0]) for (i, _), (s, _) in zip(texts, stand_in, strict=True))
+    ids = {i for i, _ in texts if i is not None}
+    groups = defaultdict(Counter)
+    for r in rows:
+        groups[r["component_id"]][r["doc_id"]] += 1
+    real = Counter((want[s][1], i) for (i, _), (s, _) in zip(texts, stand_in, strict=True) if want[s][1] in ids)
+    assert Counter({(c, i): n for c, members in groups.items() if c in ids for i, n in members.items()}) == real
+    assert sum(c not in ids for c in groups) == len({c for _, c in want.values() if c not in ids}) - 1  # two empty texts have one key
+    left = corpus_pipeline.near_copies(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted([*[str(i) for i in {c for _, c in want.values()} & ids], *["None"] * len({c for _, c in want.values()} - ids)])
+
+
 def test_lists_skip_only_what_cannot_match():
     rng = np.random.default_rng(4)
     n = 400
