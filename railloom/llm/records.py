@@ -34,6 +34,8 @@ from railloom.llm.batches import arrow_map, ragged, slices
 HEAD, META = struct.Struct("<QI"), struct.Struct("<qBBI")
 MASK_SHIFT, MASK_ADD = 15, 0xA282EAD8
 TABLE_CHUNKS, TABLE_WORDS = 200_000, 300_000
+#: Text that a record file is meant to hold at most; a file is read as one binary value.
+FILE_BYTES = 64 << 20
 ARROW = {"int": pa.int32(), "long": pa.int64(), "array<int>": pa.list_(pa.int32())}
 
 #: Fixed value: the pre-tokenizer pattern of the public lower-case word vocabulary.
@@ -159,15 +161,19 @@ def write(
 ) -> None:
     """Encode all texts, append ``end_id`` to each and write the record files and the index under ``path``.
 
-    Rows are dealt by ranges of ``id_col`` (a null id comes first; equal ids stay together in any order), so no task
-    holds more than a range and nothing is gathered. A null text counts as empty: its record has the end id alone. An
+    Rows are dealt by ranges of ``id_col`` (a null id comes first; equal ids follow each other in any order, if need be
+    over several files), so no task holds more than a range and nothing is gathered. Unless ``files`` says how many
+    there are, a file has FILE_BYTES of text on average at most, so that its size does not grow with the table. A null text counts as empty: its record has the end id alone. An
     empty table gives an empty index. Other columns are not written. A file that a lost task left half written is
     never committed.
     """
     spark = df.sparkSession
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    n = files
+    if not n:
+        size = rows.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    ordered = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(vocabulary)
@@ -220,7 +226,7 @@ def schema_names(schema: str) -> list[str]:
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The index with ``start``: tokens of all documents before the record.
 
-    The running sum goes over one row per file, a number that the writer set.
+    The running sum goes over one row per file, of which there is one per FILE_BYTES of text.
     """
     index = spark.read.parquet(f"{path}/index")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)

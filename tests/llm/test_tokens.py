@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -116,3 +117,16 @@ def test_damage_is_found():
             list(records.unframe(bytes(broken)))
     with pytest.raises(ValueError):
         list(records.unframe(data[:-9]))
+
+
+def test_files_follow_the_bytes_of_text(spark, tmp_path, monkeypatch):
+    """Rows without id, which are no range of their own, are spread over files, too."""
+    monkeypatch.setattr(records, "FILE_BYTES", 2000, raising=False)
+    texts = [(None if n < 100 else n, f"word{n} " * 20, None) for n in range(200)]
+    path = str(tmp_path / "records")
+    records.write(cases.documents(spark, texts), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    rows = records.read_index(spark, path).orderBy("file", "record").collect()
+    per_file = Counter(r["file"] for r in rows)
+    assert len(rows) == 200 and max(per_file.values()) <= 60 and len(per_file) >= 10
+    assert [r["doc_id"] for r in rows] == [None] * 100 + list(range(100, 200))
+    assert [r["start"] for r in rows] == [sum(r["n_tokens"] for r in rows[:k]) for k in range(200)]
