@@ -1,7 +1,7 @@
 """Dates, times of day and durations from text (ids C7, C11-C14, C25).
 
-A pattern check decides which form a text has; its parts are then cut out by their separators, which is
-much cheaper than a capture group per part.
+A pattern check on the raw text decides which form it has, and only then is it stripped and its parts cut out by their
+separators, which is much cheaper than a capture group per part.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from railloom.functions.coerce import bound, matches, strip
+from railloom.functions.coerce import matches, strip
 
 DAY = r"\d{4}-\d{2}-\d{2}"
 COMPACT_DAY = r"\d{8}"
@@ -19,6 +19,7 @@ CLOCK = r"(?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d)?"
 LOOSE_CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?"
 HOUR_MINUTE = r"(?:[01]?\d|2[0-3]):[0-5]?\d"
 SPAN_HM = r"\d+:[0-5]\d"
+DAYS = r"\d+ days?,? *"
 SPAN_HMS = SPAN_HM + r":[0-5]\d(?:\.\d+)?"
 
 
@@ -32,27 +33,23 @@ def date_from_text(c: Column) -> Column:
     Only text that starts with a day is tried: a bare '08:30' would otherwise be read as today.
     """
 
-    def parse(text: Column) -> Column:
-        zoned = F.when(matches(text, ZONE), text).otherwise(F.concat(text, F.lit("Z")))
-        utc_day = F.floor(F.unix_seconds(zoned.try_cast("timestamp")) / 86400)
-        return (
-            F.when(matches(text, DAY), text.try_cast("date"))
-            .when(matches(text, COMPACT_DAY), _compact_to_iso(text).try_cast("date"))
-            .when(matches(text, MOMENT), F.date_from_unix_date(utc_day.cast("int")))
-        )
-
-    return bound(strip(c), parse)
+    text = strip(c)
+    zoned = F.when(matches(c, ZONE), text).otherwise(F.concat(text, F.lit("Z")))
+    utc_day = F.floor(F.unix_seconds(zoned.try_cast("timestamp")) / 86400)
+    return (
+        F.when(matches(c, DAY), text.try_cast("date"))
+        .when(matches(c, COMPACT_DAY), _compact_to_iso(text).try_cast("date"))
+        .when(matches(c, MOMENT), F.date_from_unix_date(utc_day.cast("int")))
+    )
 
 
 def timestamp_from_text(c: Column) -> Column:
     """ISO (or yyyymmdd) text to a wall-clock timestamp; NULL when it is not one."""
 
-    def parse(text: Column) -> Column:
-        return F.when(matches(text, f"{DAY}|{MOMENT}"), text.try_cast("timestamp_ntz")).when(
-            matches(text, COMPACT_DAY), _compact_to_iso(text).try_cast("timestamp_ntz")
-        )
-
-    return bound(strip(c), parse)
+    text = strip(c)
+    return F.when(matches(c, f"{DAY}|{MOMENT}"), text.try_cast("timestamp_ntz")).when(
+        matches(c, COMPACT_DAY), _compact_to_iso(text).try_cast("timestamp_ntz")
+    )
 
 
 def _with_seconds(clock: Column) -> Column:
@@ -68,12 +65,10 @@ def time_of_day(c: Column) -> Column:
 def loose_time_of_day(c: Column) -> Column:
     """As C11, and a one-digit hour or a fraction of a second is accepted."""
 
-    def parse(text: Column) -> Column:
-        whole = F.substring_index(text, ".", 1)
-        padded = F.when(text.substr(2, 1) == ":", F.concat(F.lit("0"), whole)).otherwise(whole)
-        return F.when(matches(text, LOOSE_CLOCK), _with_seconds(padded))
-
-    return bound(strip(c), parse)
+    text = strip(c)
+    whole = F.substring_index(text, ".", 1)
+    padded = F.when(text.substr(2, 1) == ":", F.concat(F.lit("0"), whole)).otherwise(whole)
+    return F.when(matches(c, LOOSE_CLOCK), _with_seconds(padded))
 
 
 def hour_minute(c: Column) -> Column:
@@ -86,17 +81,14 @@ def hour_minute(c: Column) -> Column:
 def duration_interval(c: Column) -> Column:
     """C13: 'HHH:MM[:SS]' or 'N days HH:MM[:SS]' to an interval; bare numbers and other text give NULL."""
 
-    def clock(text: Column) -> Column:
+    def clock(before: str, text: Column) -> Column:
         cut = F.regexp_replace(text, r"(\.\d{6})\d+$", "$1")  # an interval has microseconds
-        whole = F.when(matches(text, SPAN_HM), F.concat(text, F.lit(":00"))).when(matches(text, SPAN_HMS), cut)
+        whole = F.when(matches(c, before + SPAN_HM), F.concat(text, F.lit(":00"))).when(matches(c, before + SPAN_HMS), cut)
         return whole.try_cast("interval hour to second").cast("interval day to second")
 
-    def parse(text: Column) -> Column:
-        days = F.substring_index(text, " ", 1).try_cast("int")
-        rest = bound(F.regexp_replace(text, r"^\d+ days?,? *", ""), clock)
-        return F.when(text.contains("day"), F.make_dt_interval(days) + rest).otherwise(clock(text))
-
-    return bound(strip(c), parse)
+    days = F.substring_index(strip(c), " ", 1).try_cast("int")
+    rest = F.regexp_replace(strip(c), f"^{DAYS}", "")
+    return F.when(c.contains("day"), F.make_dt_interval(days) + clock(DAYS, rest)).otherwise(clock("", strip(c)))
 
 
 def duration_minutes(c: Column) -> Column:

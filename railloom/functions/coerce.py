@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ TRUE_WORDS = ("1", "true", "t", "yes", "y", "oui", "vrai")
 # Checks run on the raw text with this margin, so that stripping is paid once, for valid text only.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"  # WHITESPACE
 NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
+WHOLE = r"[+-]?\d+(?:\.0*)?"
 FIRST_NUMBER = r"\d+\.?\d*"
 
 
@@ -24,15 +23,6 @@ def strip(c: Column) -> Column:
     return F.trim(c.cast("string"), F.lit(WHITESPACE))
 
 
-def bound(c: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(c)`` with ``c`` computed once, however often ``use`` mentions it.
-
-    A long rule over an expression would otherwise repeat that expression, and its generated code, at
-    every mention.
-    """
-    return F.get(F.transform(F.array(c), use), 0)
-
-
 def matches(c: Column, pattern: str) -> Column:
     """The text, surrounding whitespace aside, has the form of the pattern."""
     return c.cast("string").rlike(f"^{SPACE}(?:{pattern}){SPACE}$")
@@ -44,9 +34,10 @@ def to_double(c: Column) -> Column:
 
 
 def to_int(c: Column, to: str = "int") -> Column:
-    """Text to integer, '12.0' is 12; a fraction or an overflow is NULL. A decimal has no 'NaN'."""
+    """Text to integer, '12.0' is 12; a fraction or an overflow is NULL. Only odd forms such as '1e3' need a decimal."""
     number = strip(c).try_cast("decimal(38,9)")
-    return F.when(number % 1 == 0, number.try_cast(to))
+    odd = F.when(matches(c, NUMBER) & (number % 1 == 0), number.try_cast(to))
+    return F.when(matches(c, WHOLE), F.substring_index(strip(c), ".", 1).try_cast(to)).otherwise(odd)
 
 
 def first_number(c: Column) -> Column:

@@ -1,7 +1,8 @@
 """Dense surrogate ids without a single-task window (id W4).
 
-Rows are range-partitioned on their order and staged together with (partition, position in partition).
-The sizes of the partitions, one number per partition, give each partition its first id.
+Rows are staged together with (partition, position in partition). The sizes of the partitions, one number per
+partition, give each partition its first id. For ids in an order the rows are first partitioned by range; rows that
+have a place already, such as their number in the source, find their range by arithmetic.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from railloom.operators.columns import SOURCE_ORDER
 from railloom.operators.merge import null_safe_match
 from railloom.operators.quality import unique_or_fail
 from railloom.operators.staging import stage
@@ -28,26 +30,71 @@ def dense_ids(
     id_type: str = "int",
 ) -> DataFrame:
     """Number the rows start, start+1, ... in the given order, which must be total."""
-    spark = df.sparkSession
-    staged = stage(
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn(PART, F.spark_partition_id())
-        .withColumn(POSITION, F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS))),
-        f"ids-{id_col}",
-    )
-    # one row per range partition, never one per record
+    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    return positional_ids(placed, id_col, start, id_type)
+
+
+def positional_ids(df: DataFrame, id_col: str, start: int = 1, id_type: str = "int") -> DataFrame:
+    """Number the rows as they lie, partition by partition, without a sort; staging pins their places."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_BITS))
+    staged = stage(df.withColumn(PART, F.spark_partition_id()).withColumn(POSITION, place), f"ids-{id_col}")
+    # one row per partition, never one per record
     sizes = sorted((r[PART], r["n"]) for r in staged.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect())
     firsts = list(accumulate([start] + [n for _, n in sizes]))[: len(sizes)]
-    offsets = spark.createDataFrame(
-        [(p, o) for (p, _), o in zip(sizes, firsts)], f"{PART} int, {OFFSET} long"
-    )
+    offsets = df.sparkSession.createDataFrame([(p, o) for (p, _), o in zip(sizes, firsts)], f"{PART} int, {OFFSET} long")
     numbered = staged.join(F.broadcast(offsets), PART)
     return numbered.select(
         (F.col(OFFSET) + F.col(POSITION)).cast(id_type).alias(id_col), *[F.col(f"`{c}`") for c in df.columns]
     )
 
 
+def ids_by_place(df: DataFrame, place: str, places: int, id_col: str, start: int = 1, id_type: str = "int") -> DataFrame:
+    """Number the rows in the order of ``place``, a distinct number from 1 to ``places`` that some of them lack.
+
+    The range of a row follows from its place, so nothing is sampled and the rows are computed once.
+    """
+    ranges = max(1, min(4096, places // 50_000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    width = -(-max(1, places) // ranges)
+    at = F.floor((F.col(place) - 1) / width).cast("int").alias(PART)
+    dealt = df.select("*", at).repartition(ranges, PART).sortWithinPartitions(PART, place)
+    staged = stage(dealt.withColumn(POSITION, F.monotonically_increasing_id()), f"ids-{id_col}")
+    # one row per range: its first position, and how many rows it has
+    found = staged.groupBy(PART).agg(F.min(POSITION).alias("low"), F.count(F.lit(1)).alias("n")).collect()
+    sizes = sorted((r[PART], r["low"], r["n"]) for r in found)
+    firsts = accumulate([start] + [n for _, _, n in sizes])
+    offsets = [(p, first - low) for (p, low, _), first in zip(sizes, firsts)]
+    shift = df.sparkSession.createDataFrame(offsets, f"{PART} int, {OFFSET} long")
+    numbered = staged.join(F.broadcast(shift), PART)
+    return numbered.select((F.col(OFFSET) + F.col(POSITION)).cast(id_type).alias(id_col), *[F.col(f"`{c}`") for c in df.columns])
+
+
+def source_ids(df: DataFrame, id_col: str) -> DataFrame:
+    """Number the rows from 1 in the order of their source position; without one in the order of all columns.
+
+    Rows of a file block carry consecutive line numbers, so the sizes of the blocks give each its first id, without a
+    sort. Where lines are missing, or positions are of another form, the rows are sorted.
+    """
+    staged = stage(df, f"source-{id_col}")
+    if SOURCE_ORDER not in df.columns:
+        return dense_ids(staged, df.columns, id_col, id_type="long")
+    place = F.col(SOURCE_ORDER)
+    block = ["load", "file", "block"]
+    if not {*block, "line"} <= {*df.schema[SOURCE_ORDER].dataType.names}:
+        return dense_ids(staged, [place], id_col, id_type="long")
+    ends = [F.min(place["line"]).alias("low"), F.max(place["line"]).alias("high"), F.count(F.lit(1)).alias("n")]
+    # one row per file block
+    found = sorted(tuple(r) for r in staged.groupBy(*[place[b].alias(b) for b in block]).agg(*ends).collect())
+    if any(high - low + 1 != n for *_, low, high, n in found):
+        return dense_ids(staged, [place], id_col, id_type="long")
+    firsts = accumulate([1] + [n for *_, n in found])
+    shift = df.sparkSession.createDataFrame(
+        [(*at, first - low) for (*at, low, _, _), first in zip(found, firsts)], f"_load int, _file string, _block long, {OFFSET} long"
+    )
+    same = [place[b] == F.col(f"_{b}") for b in block]
+    numbered = staged.join(F.broadcast(shift), same)
+    return numbered.select((F.col(OFFSET) + place["line"]).alias(id_col), *[F.col(f"`{c}`") for c in df.columns])
+
+
 def fill_ids(
     df: DataFrame, id_col: str, order_by: Sequence[str], last: int = 0, id_type: str = "int"
 ) -> DataFrame:

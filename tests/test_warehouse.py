@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from railloom.operators import merge, numbering, quality
 from railloom.plans import analytics, ingest, listings, warehouse
 from railloom.schemas import KEYS, SURROGATES, WAREHOUSE
-from railloom.sources.zones import Zone
+from railloom.sources.zones import Draft, Zone
 from tests.conftest import rows, values
 from tests.landing import write_landing
 
@@ -303,9 +303,11 @@ def test_fact_collapses_a_change_of_period_and_keeps_ids(loaded, spark):
     """Ids of known stations survive when a new station sorts before them."""
     _, _, target, first = loaded
     before = {(r["name"], r["country"]): r["gare_id"] for r in target.read("dim_gare").collect()}
-    load = warehouse.WarehouseLoad(target, target)
     extra = spark.createDataFrame([("AAA", "AAA", "FR", 1.0, 1.0, False)], "name string, city string, country string, latitude double, longitude double, is_main_station boolean")
-    after = {(r["name"], r["country"]): r["gare_id"] for r in load._merge("dim_gare", extra).collect()}
+    draft = Draft(spark, target.root, target.release().manifest)  # never released
+    merged = warehouse.WarehouseLoad(target.release(), draft)._merge("dim_gare", extra)
+    after = {(r["name"], r["country"]): r["gare_id"] for r in merged.collect()}
+    assert target.read("dim_gare").where("name = 'AAA'").isEmpty()
     assert after.pop(("AAA", "FR")) == max(before.values()) + 1
     assert after == before
 
@@ -315,3 +317,49 @@ def test_preview_lists_all_tables(loaded):
     preview = clean.preview()
     assert set(preview) == set(clean.tables())
     assert all(df.count() <= 3 for df in preview.values())
+
+
+def test_blanks_around_station_names_give_one_fact(spark):
+    register = spark.createDataFrame(
+        [("Halt ", "FR", "1", "2", "t"), ("Halt", " FR", "3", "4", "f"), (" Ende", "DE", "5", "6", "f")],
+        "name string, country string, latitude string, longitude string, is_main_station string",
+    )
+    stops = spark.createDataFrame([("Halt", "FR ", "7", "8")], "stop_name string, stop_country string, stop_lat string, stop_lon string")
+    stations = warehouse.dim_gare(register, stops)
+    assert rows(stations.select("name", "country")) == [("Ende", "DE"), ("Halt", "FR")]
+    trips = spark.createDataFrame(
+        [("T", "1", "A", "FR, DE", " Halt", "Ende ", "10", "08:30", "1")],
+        "trip_id string, route_id string, agency_id string, countries string, trip_origin string, trip_headsign string, distance string, duration string, co2_per_km string",
+    )
+    details = spark.createDataFrame([], "route_id string, start_date_0 string, end_date_0 string, average_speed string")
+    transported = spark.createDataFrame([], "geo string, obs_value string, TIME_PERIOD string")
+    routes = spark.createDataFrame([(1,)], "route_id int")
+    operators = spark.createDataFrame([("A",)], "agency_id string")
+    dates = spark.createDataFrame([], "date_id int, start_date date, end_date date")
+    numbered = stations.withColumn("gare_id", F.when(F.col("name") == "Halt", 1).otherwise(2))
+    (fact,) = warehouse.night_facts(trips, details, transported, routes, operators, numbered, dates).collect()
+    assert (fact["gare_depart_id"], fact["gare_arrivee_id"]) == (1, 2)
+
+
+def test_a_refresh_that_fails_half_way_leaves_the_release_before(loaded, spark, monkeypatch):
+    _, clean, target, first = loaded
+    number = target.release().manifest.number
+
+    def broken(self):
+        self.warehouse.publish("dim_gare", self.warehouse.read("dim_gare").limit(0), ["name", "country"])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(warehouse.WarehouseLoad, "night_facts", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        warehouse.refresh(clean, target)
+    assert target.release().manifest.number == number and contents(target) == first
+
+
+def test_a_refresh_with_nothing_new_writes_only_stations(loaded):
+    """Stations take the curated values and then the intermodal ones again; all other tables stay as they are."""
+    _, clean, target, _ = loaded
+    warehouse.refresh(clean, target)
+    before = target.release().manifest.tables
+    warehouse.refresh(clean, target)
+    after = target.release().manifest.tables
+    assert {t for t in after if after[t] != before[t]} <= {"dim_gare"}

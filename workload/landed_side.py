@@ -154,7 +154,7 @@ def landed_connections(t: Tables) -> DataFrame:
         F.concat(F.lit('Line; "'), F.col("l_returnflag"), F.lit('"')).alias("Operator"),
         F.col("l_quantity").alias("Distance"),
     ).write.csv(path, sep=";", header=True, escape='"')
-    connections = intermodal.prepare(landed.read_unknown_dialect(t.spark, path))
+    connections = intermodal.numbered_connections(landed.read_unknown_dialect(t.spark, path))
     routes = intermodal.routes(connections)
     return routes.select("route_long_name", "origin", "destination", "countries")
 

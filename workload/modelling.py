@@ -508,7 +508,7 @@ SQL_I_STATION = f"""i_station AS (SELECT CAST(row_number() OVER (ORDER BY role,
 @register("SELECT * FROM i_station", (views.SQL_CONNECTIONS, SQL_I_STATION))
 def intermodal_stations(t: Tables) -> DataFrame:
     """P3, P4, C16, U3, L6, W1, W4."""
-    return intermodal.stations(intermodal.prepare(views.connections(t)))
+    return intermodal.stations(intermodal.numbered_connections(views.connections(t)))
 
 
 @register(
@@ -532,7 +532,7 @@ SQL_I_ROUTE = f"""i_route AS (SELECT CAST(row_number() OVER (ORDER BY {ORDER}, o
 @register("SELECT * FROM i_route", (views.SQL_CONNECTIONS, SQL_I_ROUTE))
 def intermodal_routes(t: Tables) -> DataFrame:
     """W1, W4, C18, C19."""
-    return intermodal.routes(intermodal.prepare(views.connections(t)))
+    return intermodal.routes(intermodal.numbered_connections(views.connections(t)))
 
 
 SQL_I_TRAIN = f"""i_train AS (SELECT 'TR_' || left(md5(length(origin) || ':' || origin || '|' || length(destination) || ':' || destination || '|'
@@ -550,8 +550,8 @@ SQL_I_TRAIN = f"""i_train AS (SELECT 'TR_' || left(md5(length(origin) || ':' ||
 )
 def intermodal_trains(t: Tables) -> DataFrame:
     """A7, J11, W5."""
-    prepared = intermodal.prepare(views.connections(t))
-    return intermodal.trains(prepared, intermodal.routes(prepared)).drop(SOURCE_ORDER)
+    prepared = intermodal.numbered_connections(views.connections(t))
+    return intermodal.trains(prepared, intermodal.routes(prepared)).drop(SOURCE_ORDER, intermodal.ROW)
 
 
 SQL_I_FACT = f"""i_fact AS (SELECT row_number() OVER (ORDER BY {', '.join('c.' + k.strip() for k in ORDER.split(','))}) AS fact_id, l.trip_id AS train_id, l.route_id,
