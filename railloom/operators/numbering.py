@@ -74,13 +74,13 @@ def source_ids(df: DataFrame, id_col: str) -> DataFrame:
     Rows of a file block carry consecutive line numbers, so the sizes of the blocks give each its first id, without a
     sort. Where lines are missing, or positions are of another form, the rows are sorted.
     """
-    staged = stage(df, f"source-{id_col}")
     if SOURCE_ORDER not in df.columns:
-        return dense_ids(staged, df.columns, id_col, id_type="long")
+        return dense_ids(df, [f"`{c}`" for c in df.columns], id_col, id_type="long")
     place = F.col(SOURCE_ORDER)
     block = ["load", "file", "block"]
     if not {*block, "line"} <= {*df.schema[SOURCE_ORDER].dataType.names}:
-        return dense_ids(staged, [place], id_col, id_type="long")
+        return dense_ids(df, [place], id_col, id_type="long")
+    staged = stage(df, f"source-{id_col}")
     ends = [F.min(place["line"]).alias("low"), F.max(place["line"]).alias("high"), F.count(F.lit(1)).alias("n")]
     # one row per file block
     found = sorted(tuple(r) for r in staged.groupBy(*[place[b].alias(b) for b in block]).agg(*ends).collect())
