@@ -9,11 +9,12 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from railloom.operators.columns import SOURCE_ORDER
 from railloom.operators.predicates import drop_empty_rows
+from railloom.operators.staging import stage
 
 # Cell texts that a data-frame CSV reader takes as missing.
 MISSING_TEXTS = (
@@ -21,6 +22,9 @@ MISSING_TEXTS = (
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: Columns that a table out of objects may have.
+MOST_COLUMNS = 2000
+
 # The separators tried for a table of unknown dialect, in this order.
 SEPARATORS = (";", ",", "\t")
 SNIFFED_SEPARATORS = (",", ";", "\t", "|")
@@ -116,6 +120,97 @@ def _as_columns(rows: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     )
 
 
+def _block_starts(rows: DataFrame, change: Column) -> DataFrame:
+    """Per file and block the sum of ``change`` over all blocks before it in the file."""
+    sums = rows.groupBy("file", "block").agg(F.sum(change).alias("n")).collect()  # one row per file block
+    starts, file, total = [], None, 0
+    for name, block, n in sorted(tuple(r) for r in sums):
+        total = total if name == file else 0
+        file = name
+        starts.append((name, block, total))
+        total += n
+    return F.broadcast(rows.sparkSession.createDataFrame(starts, "file string, block long, start long"))
+
+
+def _running(rows: DataFrame, change: Column, name: str, inclusive: bool) -> DataFrame:
+    """``name``: the sum of ``change`` from the start of the file, by a running sum in each block and one number per block."""
+    until = Window.currentRow if inclusive else -1
+    over = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, until)
+    here = F.coalesce(F.sum(change).over(over), F.lit(0))
+    return rows.join(_block_starts(rows, change), ["file", "block"]).withColumn(name, F.col("start") + here).drop("start")
+
+
+def keyed_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """S3: the entries of files that are one object each: ``file``, ``block``, ``line`` and ``text``, an object of its own.
+
+    Files are split at closing braces, so a large one is read by many tasks. Whether a brace stands inside a text follows
+    from the number of quotes before it, and how deep it is from the braces before it; both are carried over from block
+    to block. Pieces of one entry are put together again. What stands behind the last whole entry, as in a file that
+    breaks off, is an entry whose text cannot be parsed.
+    """
+    whole = spark.read.option("lineSep", "}").text(path)
+    pieces = whole.select(
+        F.when(F.col("_metadata.file_block_start") == 0, F.ltrim("value", F.lit("\ufeff"))).otherwise(F.col("value")).alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        (F.octet_length("value") + 1).alias("bytes"),
+        F.col("_metadata.file_size").alias("size"),
+        F.length(F.regexp_replace(F.regexp_replace("value", r"(?s)\\.", ""), '[^"]', "")).alias("quotes"),
+    )
+    pieces = stage(pieces, "pieces")
+    # a file that does not end with a brace has a last piece without one
+    sized = pieces.groupBy("file").agg(F.sum("bytes").alias("bytes"), F.max("size").alias("size"), F.max(F.struct("block", "line")).alias("last"))
+    open_end = sized.where("bytes > size").select("file", F.col("last.block").alias("block"), F.col("last.line").alias("line"), F.lit(True).alias("open_end"))
+    pieces = _running(pieces.drop("bytes", "size"), F.col("quotes"), "before", False).join(F.broadcast(open_end), ["file", "block", "line"], "left")
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    outside = F.regexp_replace(F.when(F.col("before") % 2 == 1, F.concat(F.lit('"'), plain)).otherwise(plain), '"[^"]*("|$)', "")
+    closes = ((F.col("before") + F.col("quotes")) % 2 == 0) & F.col("open_end").isNull()
+    marked = stage(
+        pieces.select("file", "block", "line", "value", closes.alias("closes"), F.length(F.regexp_replace(outside, r"[^{]", "")).alias("opens")), "braces"
+    )
+    deep = _running(marked, F.col("opens") - F.col("closes").cast("int"), "depth", True)
+    ended = stage(deep.withColumn("ends", (F.col("closes") & (F.col("depth") == 1)).cast("int")).drop("opens", "depth"), "ends")
+    numbered = _running(ended, F.col("ends"), "entry", False)
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    entries = numbered.groupBy("file", "entry").agg(parts.alias("parts"), F.max("ends").alias("ended"), F.max("closes").alias("closed"))
+    body = F.regexp_replace(F.array_join("parts.value", "}"), r"^\s*[{,]", "")
+    text = F.when(F.col("ended") == 1, F.concat(F.lit("{"), body, F.lit("}}"))).otherwise(body)
+    whole_entries = entries.select("file", F.col("parts")[0]["block"].alias("block"), F.col("parts")[0]["line"].alias("line"), "ended", text.alias("text"))
+    # behind the last entry of a whole file are the outer brace, blanks, and entries that are null
+    return whole_entries.where((F.col("ended") == 1) | ~F.col("text").rlike(r'^\s*(?:"(?:[^"\\]|\\.)*"\s*:\s*null\s*,?\s*)*[}\s]*$')).drop("ended")
+
+
+def keyed_rows(spark: SparkSession, path: str | Sequence[str], per_line: bool = False) -> DataFrame:
+    """S3: one row per entry: its place, ``row`` (map of its columns, NULL if the text is no object of objects) and ``text``.
+
+    Staged, so that what is found in it is parsed once.
+    """
+    texts = _located_text(spark, path, False).withColumnRenamed("value", "text") if per_line else keyed_records(spark, path)
+    parsed = texts.where(~F.col("text").rlike(r"^\s*$")).withColumn("entries", F.from_json("text", "map<string,map<string,string>>"))
+    sound = parsed.where("entries IS NOT NULL").select("file", "block", "line", F.posexplode("entries").alias("item", "key", "row"), F.lit(None).cast("string").alias("text"))
+    bad = parsed.where("entries IS NULL").select("file", "block", "line", F.lit(0).alias("item"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("map<string,string>").alias("row"), "text")
+    return stage(sound.where("row IS NOT NULL").unionByName(bad), "keyed")
+
+
+def line_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """S3 for volume: as keyed_rows, of files with one row object per line."""
+    located = _located_text(spark, path, False).withColumnRenamed("value", "text").where(~F.col("text").rlike(r"^\s*$"))
+    row = F.from_json("text", "map<string,string>")
+    parsed = located.select("file", "block", "line", F.lit(0).alias("item"), F.lit(None).cast("string").alias("key"), row.alias("row"), "text")
+    return stage(parsed.withColumn("text", F.when(F.col("row").isNull(), F.col("text"))), "lines")
+
+
+def bad_records(rows: DataFrame) -> DataFrame:
+    """Entries that could not be parsed, with file and position."""
+    return rows.where("row IS NULL").select("file", "block", "line", "text")
+
+
+def sound_records(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """L3: one column per name out of what keyed_rows or line_rows give."""
+    return _as_columns(rows.where("row IS NOT NULL"), columns)
+
+
 def read_keyed_json(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -124,41 +219,33 @@ def read_keyed_json(
 ) -> DataFrame:
     """S3, L3: objects of objects. Outer keys are dropped, inner objects are rows, columns are the union.
 
-    A file is one object (one record, read by one task) unless ``per_line``, where every line is an
-    object and the file splits. Without ``columns`` the names are found by a first pass that brings one
-    row per distinct column name to the driver.
+    A file is one object, or with ``per_line`` every line is one; either splits. Without ``columns`` the names are found
+    in a pass over the parsed rows, MOST_COLUMNS of them at most. Entries that cannot be parsed are left out.
     """
-    rows = (
-        _located_text(spark, path, not per_line)
-        .select(
-            "file",
-            "block",
-            "line",
-            F.posexplode(F.from_json("value", "map<string,map<string,string>>")).alias("item", "key", "row"),
-        )
-        .where(F.col("row").isNotNull())
-    )
-    return _as_columns(rows, columns)
+    return sound_records(keyed_rows(spark, path, per_line), columns)
 
 
 def read_json_lines(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """S3, L3 for volume: one row object per line, splittable; every value as text."""
-    rows = _located_text(spark, path, False).select(
-        "file", "block", "line", F.lit(0).alias("item"), F.from_json("value", "map<string,string>").alias("row")
-    )
-    return _as_columns(rows.where(F.col("row").isNotNull()), columns)
+    """S3, L3 for volume: one row object per line; every value as text. Lines that cannot be parsed are left out."""
+    return sound_records(line_rows(spark, path), columns)
 
 
 def column_names(rows: DataFrame) -> list[str]:
-    """Distinct names over all rows, in the order of their first position inside an object."""
+    """Distinct names over all rows, in the order of their first position inside an object.
+
+    Names are merged on the executors, and as many reach the driver as a table may have; more of them fail the read.
+    """
     found = (
         rows.select(F.posexplode(F.map_keys("row")).alias("at", "name"))
         .groupBy("name")
         .agg(F.min("at").alias("at"))
+        .limit(MOST_COLUMNS + 1)
         .collect()
     )
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"the objects have more than {MOST_COLUMNS} different names: is a key used as a value?")
     return [r["name"] for r in sorted(found, key=lambda r: (r["at"], r["name"]))]
 
 
