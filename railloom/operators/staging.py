@@ -25,8 +25,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write once, read back: the result is computed one time and its lineage ends here."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
