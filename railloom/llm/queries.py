@@ -74,13 +74,11 @@ SHARDS, SHARD_SEED = 16, 20
 
 @query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shuffle(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS, SHARD_SEED)
     text = F.coalesce("text", F.lit(""))
-    documents = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-    )
-    placed = shards.shuffle(documents, SHARDS, SHARD_SEED)
+    size, crc = (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        "doc_id", size, crc, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 

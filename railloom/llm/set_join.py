@@ -407,8 +407,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
     Rows with equal sets have one representative, the smallest id among them. The links are verified and connect
     all that links of the whole connect; a link between sets that others connect already may be left out, so that a
     family of n similar sets does not give n^2 of them. Rows without words have an empty set, are their own
-    representative and link with nothing. A null id cannot be linked and is left out. Ids should be unique: of rows
-    that repeat an id with different texts any may stand for it.
+    representative and link with nothing. A null id cannot be linked and is left out, and an id must stand for one text:
+    ``keyed`` makes such keys for any table.
     """
     rows = df.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
@@ -435,33 +435,47 @@ def components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     return found.select("doc_id", "n_shingles", F.coalesce("component", "rep_id").alias("component_id"))
 
 
+def _odd(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Ids that rows with different texts share."""
+    print_ = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    prints = df.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("long").alias("_odd_id"))
+    return prints.agg(F.min(print_).alias("low"), F.max(print_).alias("high")).where("low < high").select("_odd_id")
+
+
 def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text", key: str = "_key_of_row") -> DataFrame:
-    """The rows and a key: the id, or for rows without one a hash of the text that is no row's id."""
-    null, blank = F.col(f"`{id_col}`").isNull(), F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    own = F.col(f"`{id_col}`").cast("long")
-    without = df.where(null)
-    if not without.limit(1).count():
+    """The rows and a key: the id; for rows without one, and for rows that share theirs with other texts, a hash of id and
+    text that is no row's id. Rows with equal id and text have one key."""
+    own, blank = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    shared_ids = stage(_odd(df, id_col, text), "odd-ids")
+    if not df.where(own.isNull()).limit(1).count() and shared_ids.isEmpty():
         return df.withColumn(key, own)
+    marked = df.join(shared_ids, own == F.col("_odd_id"), "left")
+    odd = own.isNull() | F.col("_odd_id").isNotNull()
     salt = 0
-    while without.select(F.xxhash64(blank, F.lit(salt)).alias(key)).join(df.where(~null).select(own.alias(key)), key, "left_semi").limit(1).count():
+    while marked.where(odd).select(F.xxhash64(own, blank, F.lit(salt)).alias(key)).join(marked.where(~odd).select(own.alias(key)), key, "left_semi").limit(1).count():
         salt += 1
-    return df.withColumn(key, F.when(null, F.xxhash64(blank, F.lit(salt))).otherwise(own))
+    return marked.withColumn(key, F.when(odd, F.xxhash64(own, blank, F.lit(salt))).otherwise(own)).drop("_odd_id")
 
 
 def all_components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``components`` with the rows that have no id: key, doc_id, n_shingles and component_id of every row.
+    """``components`` of every row, whatever its id: key, doc_id, n_shingles and component_id.
 
-    The key is that of ``keyed``. The component is the smallest id in it as ever; where no row of it has an id, it is
-    the smallest key in it, which is no row's id. Rows without id and with equal texts have one key.
+    The key is that of ``keyed``. Each row is a document of its own, also where rows with different texts share an id: the
+    component of each is the smallest id that links of its own text reach. Where no row of a component has an id, it is the
+    smallest key in it, which is no row's id.
     """
-    if not df.where(F.col(f"`{id_col}`").isNull()).limit(1).count():
-        return components(df, id_col, text).select(F.col("doc_id").alias("key"), "doc_id", "n_shingles", "component_id")
-    rows = keyed(df, id_col, text)
-    found = stage(components(rows, "_key_of_row", text), "set-components")
-    # a key tells a row without id from one with an id, as no key of the former is an id of the latter
-    keys = rows.where(F.col(f"`{id_col}`").isNull()).select(F.col("_key_of_row").alias("doc_id")).distinct().withColumn("null", F.lit(True))
-    known = found.join(keys, "doc_id", "left").select(
-        F.col("doc_id").alias("key"), F.when(F.col("null").isNull(), F.col("doc_id")).alias("doc_id"), "n_shingles", "component_id"
-    )
-    least = known.groupBy("component_id").agg(F.min("doc_id").alias("least"))
-    return known.join(least, "component_id").select("key", "doc_id", "n_shingles", F.coalesce("least", "component_id").alias("component_id"))
+    return keyed_components(keyed(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")))).drop("group")
+
+
+def keyed_components(rows: DataFrame) -> DataFrame:
+    """``all_components`` of rows that ``keyed`` has given keys (doc_id, text and _key_of_row), and ``group``, the smallest
+    key in the component: components of rows that share an id may have the same component_id, but not the same group."""
+    found = components(rows, "_key_of_row")
+    differs = F.col("doc_id").isNull() | (F.col("doc_id") != F.col("_key_of_row"))
+    odd = stage(rows.where(differs).select(F.col("_key_of_row").alias("key"), F.col("doc_id").cast("long").alias("own"), F.lit(True).alias("odd")).distinct(), "odd-keys")
+    if odd.isEmpty():
+        return found.select(F.col("doc_id").alias("key"), "doc_id", "n_shingles", "component_id", F.col("component_id").alias("group"))
+    found = stage(found.withColumnsRenamed({"doc_id": "key", "component_id": "group"}), "set-components")
+    known = found.join(odd, "key", "left").select("key", F.when(F.col("odd"), F.col("own")).otherwise(F.col("key")).alias("doc_id"), "n_shingles", "group")
+    least = known.groupBy("group").agg(F.min("doc_id").alias("least"))
+    return known.join(least, "group").select("key", "doc_id", "n_shingles", F.coalesce("least", "group").alias("component_id"), "group")

@@ -70,8 +70,8 @@ def shuffle(df: DataFrame, shards: int, seed: int) -> DataFrame:
     """All rows and columns of ``df`` plus ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... within its shard).
 
     Shard sizes differ by one row at most, whatever the rows hold: nulls, repeated rows and a value that a third of
-    all rows share are rows like any other. The result depends on the seed and on how the input is partitioned. An
-    empty table gives an empty one. A column called ``shard`` or ``slot`` is replaced. The rows are written once to
+    all rows share are rows like any other, as rows are permuted by their place and not by what they hold. The result
+    depends on the seed and on how the input is partitioned. An empty table gives an empty one. A column called ``shard`` or ``slot`` is replaced. The rows are written once to
     the scratch folder, so that lost tasks read what was drawn for. The driver holds partitions x shards counts.
     """
     spark = df.sparkSession
@@ -79,11 +79,12 @@ def shuffle(df: DataFrame, shards: int, seed: int) -> DataFrame:
     body = df.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
     mixed = (
         body.withColumn("part", F.spark_partition_id())
-        .withColumn("key", F.xxhash64(F.lit(seed), *[F.col("row").getField(c) for c in own]))
+        .withColumn("key", F.xxhash64(F.lit(seed), "part", _within_partition()))
         .sortWithinPartitions("key")
         .withColumn("rank", _within_partition())
+        .drop("key")
     )
-    mixed = stage(mixed, "shard-in")
+    mixed = stage(mixed, "shard-in", "zstd")
     counts = {r["part"]: r["n"] for r in mixed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = sorted(counts)
     drawn = matrix([counts[p] for p in parts], even(sum(counts.values()), shards), seed)
@@ -98,7 +99,7 @@ def shuffle(df: DataFrame, shards: int, seed: int) -> DataFrame:
         .withColumn("part", F.spark_partition_id())
         .withColumn("rank", _within_partition())
     )
-    sent = stage(sent, "shard-out")
+    sent = stage(sent.drop("key"), "shard-out", "zstd")
     blocks = sent.groupBy("part", "shard").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).collect()
     starts, filled = [], [0] * shards
     for b in sorted(blocks, key=lambda b: (b["shard"], b["part"])):

@@ -129,6 +129,18 @@ def test_rows_without_id_have_components(spark, tmp_path):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted([*[str(i) for i in {c for _, c in want.values()} & ids], *["None"] * len({c for _, c in want.values()} - ids)])
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    """Rows are documents of their own: each links by its own text, whatever else has its id."""
+    first, other = " ".join(f"a{n}" for n in range(41)), " ".join(f"b{n}" for n in range(61))
+    texts = [(1, first, "en"), (2, first + " x", "en"), (2, other, "en"), (5, other + " y", "en"), (2, other, "en"), (3, "apart from all of these words", "en"), (3, None, "en"), (None, first, "en")]
+    got = sorted(((r["doc_id"] or 0), r["n_shingles"], r["component_id"]) for r in set_join.all_components(cases.documents(spark, texts)).collect())
+    assert got == [(0, 37, 1), (1, 37, 1), (2, 38, 1), (2, 57, 2), (2, 57, 2), (3, 0, 3), (3, 2, 3), (5, 58, 2)]
+    named = cases.documents(spark, texts).withColumnRenamed("source", "_key_of_row").withColumnRenamed("row", "_dropped")
+    kept = corpus_pipeline.near_copies(spark, named, "")
+    assert kept.columns == named.columns
+    assert sorted(((r["doc_id"] or 0), r["text"] or "") for r in kept.collect()) == sorted([(1, first), (2, other), (2, other), (3, texts[5][1]), (3, "")])
+
+
 def test_lists_skip_only_what_cannot_match():
     rng = np.random.default_rng(4)
     n = 400

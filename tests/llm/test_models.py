@@ -115,6 +115,19 @@ def test_assess_odd_documents(spark):
     assert {r["score"] for r in quality.assess(docs, quality.learn(docs, labels.where("false"))).collect()} == {0.5}
 
 
+def test_scores_equal_plain_sums(spark):
+    """The score of every document by walking its bins one by one."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    model = quality.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert model.pairs and any(len(e) for e in model.edges)
+    for r in quality.assess(docs, model, keep=("text",)).collect():
+        x = quality.features(pa.array([r["text"] or ""]))[0]
+        bins = [sum(edge <= v for edge in edges) for v, edges in zip(x, model.edges, strict=True)]
+        total = model.base + sum(table[b] for table, b in zip(model.tables, bins, strict=True))
+        total += sum(t[model.coarse[a][bins[a]], model.coarse[b][bins[b]]] for (a, b), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-min(30, max(-30, total)))))
+
+
 def test_op2_on_held_out_documents(spark):
     label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = queries.op2_quality(spark, SF).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -97,6 +98,36 @@ def test_shuffle_of_odd_rows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(cases.TEXTS)
 
 
+def test_equal_rows_are_spread_like_any_others(spark):
+    copies = spark.range(0, 6400, 1, 4).select((F.col("id") % 100).alias("doc_id"), F.lit("same").alias("text"))
+    sorted_copies = copies.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    rows = shards.shuffle(sorted_copies, 16, 7).collect()
+    held = Counter((r["doc_id"], r["shard"]) for r in rows)
+    together = sum(n * (n - 1) for n in held.values()) / (100 * 64 * 63)
+    assert abs(together - 1 / 16) < 0.01
+    spread = Counter(d for d, _ in held)
+    assert min(spread.values()) >= 13 and sorted(Counter(r["shard"] for r in rows).values()) == [400] * 16
+
+
+def test_op5_against_its_contract(spark):
+    """What the law says, row by row: sizes, checksums, counts and slots, and no trace of source or length."""
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = queries.op5_sharding(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    assert all((r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(docs[r["doc_id"]]) + 1, zlib.crc32(docs[r["doc_id"]]), "rows", None) for r in rows)
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(slots) == list(range(16)) and {len(v) for v in slots.values()} <= {len(docs) // 16, len(docs) // 16 + 1}
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    equal = defaultdict(list)
+    for r in rows:
+        equal[docs[r["doc_id"]]].append(r["shard"])
+    pairs = [a == b for v in equal.values() for n, a in enumerate(v) for b in v[:n]]
+    assert not pairs or sum(pairs) / len(pairs) < 0.25
+
+
+
 def messages(spark, rows):
     return spark.createDataFrame(rows, "tree_id long, message_id long, parent_id long, role string, text string, score double, formatted string")
 
