@@ -45,11 +45,15 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 80 % common shingles connect, the smallest id stays; where none has an id, one
-    text stays."""
-    groups = set_join.all_components(docs)
-    dropped = groups.where("component_id != key").select(F.col("key").alias("_dropped"))
-    return set_join.keyed(docs).join(dropped, F.col("_key_of_row") == F.col("_dropped"), "left_anti").drop("_key_of_row")
+    """Of documents that links of 80 % common shingles connect, one text of the smallest id stays; where none has an id,
+    one text stays. Rows with equal id and text stay or go together."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    rows = set_join.keyed(whole)
+    groups = stage(set_join.keyed_components(rows.drop("row")), "groups")
+    # of several texts with the smallest id, as ids may repeat, the one with the smallest key
+    chosen = groups.where("component_id = coalesce(doc_id, key)").groupBy("group").agg(F.min("key").alias("chosen"))
+    dropped = groups.join(chosen, "group").where("key != chosen").select(F.col("key").alias("_dropped")).distinct()
+    return rows.join(dropped, F.col("_key_of_row") == F.col("_dropped"), "left_anti").select("row.*")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
