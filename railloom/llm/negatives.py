@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from railloom.llm.batches import arrow_map
 from railloom.operators.staging import stage
 
-LEAF, GROUP = 32, 16
+LEAF, GROUP = 128, 8
 #: Rows of a tile: as many tiles as keep the cluster busy, each of which fits a worker.
 LEAST_TILE, MOST_TILE, TILES = 4096, 1 << 18, 64
 #: Inner products must be exact in doubles.
@@ -81,6 +81,7 @@ class Tree:
 
     def _walk(self, query, own, label, windows, same, k, leaf, group) -> list[list[tuple[float, int]]]:
         best: list[list[tuple[float, int]]] = [[] for _ in windows]  # heaps of (score, -id), worst first
+        takes = ((self.labels == label) == same) & (self.ids != own)
 
         def open_for(low: float, high: float, first: int) -> list[int]:
             """Windows to which a box can still add."""
@@ -103,12 +104,16 @@ class Tree:
                     heapq.heappush(queue, (-leaf[1][child], 1, child))
                 continue
             at = slice(n * LEAF, (n + 1) * LEAF)
-            scores, takes = self.vectors[at] @ query, (self.labels[at] == label) == same
-            takes &= self.ids[at] != own
+            scores = np.where(takes[at], self.vectors[at] @ query, np.nan)
             for w in wanted:
                 least, most = windows[w]
-                for row in np.flatnonzero(takes & (scores >= least) & (scores <= most)):
+                if len(best[w]) == k:
+                    least = max(least, best[w][0][0])
+                rows = np.flatnonzero((scores >= least) & (scores <= most))
+                for row in rows[np.argsort(-scores[rows], kind="stable")]:
                     entry = (scores[row], -int(self.ids[n * LEAF + row]))
+                    if len(best[w]) == k and entry[0] < best[w][0][0]:
+                        break
                     if len(best[w]) < k:
                         heapq.heappush(best[w], entry)
                     elif entry > best[w][0]:
