@@ -9,20 +9,18 @@ All texts of a slice are searched together, their ends laid behind each other.
 from __future__ import annotations
 
 import hashlib
-import json
-import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from railloom.llm import blocks
 from railloom.llm.batches import flat_bytes, int_lists, map_texts, ragged, texts_from
-from railloom.llm.bpe import byte_symbols
+from railloom.llm.bpe import Merges, WordTable
 from railloom.operators.staging import stage
 
 MADE = {
@@ -46,23 +44,18 @@ class _Bytes:
 
 
 class ByteLevel:
-    """A byte-level BPE file of the tokenizers library; special tokens written in a text are text."""
+    """A byte-level BPE file; special tokens written in a text are text."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        symbols = byte_symbols()
-        special = {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
-        content = {i: bytes(symbols[c] for c in t) for t, i in spec["model"]["vocab"].items() if i not in special} | special
-        self.bytes = _Bytes([content.get(i, b"") for i in range(max(content) + 1)])
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        merges = Merges(path)
+        merges.cut = None
+        self.words = WordTable(merges)
+        ids = np.arange(len(merges.lengths))
+        self.bytes = _Bytes([merges.bytes[merges.starts[i] : merges.starts[i] + merges.lengths[i]].tobytes() for i in ids])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = self.words.encode(texts)
+        return ids.astype(np.int64), counts
 
 
 class Pieces:
@@ -77,8 +70,11 @@ class Pieces:
             return bytes([int(self.model.id_to_piece(i)[3:-1], 16)])
         return self.model.id_to_piece(i).replace(SPACE, " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts back to back and how many each text has."""
+        found = self.model.encode(texts, num_threads=1)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
 
 
 @lru_cache(maxsize=2)
@@ -197,9 +193,7 @@ def tokens_of(texts: list[str], a: ByteLevel, b: Pieces) -> Slice:
     sides = []
     sound = np.array([bool(t) for t in texts], bool)
     for coder, given in ((a, spaced), (b, texts)):
-        found = coder.encode(given)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for row in found for i in row), np.int64, int(counts.sum()))
+        ids, counts = coder.encode(given)
         sizes = np.bincount(np.repeat(np.arange(len(counts)), counts), weights=coder.bytes.lengths[ids], minlength=len(counts)).astype(np.int64)
         same = sizes == np.diff(edges)
         sound &= same

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from railloom.llm import alignment, negatives, queries, toxicity
+from railloom.llm import alignment, bpe, negatives, queries, toxicity
 from tests.llm import cases
 
 SF = "/root/testdata/sf0.01"
@@ -202,7 +202,7 @@ def plain_alignment(text: str | None, a, b):
         return [], []
     left = a.encode(" " + text, add_special_tokens=False).ids
     right = b.encode(text)
-    symbols = alignment.byte_symbols()
+    symbols = bpe.byte_symbols()
     spans = []
     for tokens in ([bytes(symbols[c] for c in a.id_to_token(i)) for i in left], [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in right]):
         if b"".join(tokens) != (" " + text).encode():
