@@ -171,7 +171,7 @@ class Curve:
 def fit_curve(excess: np.ndarray, strong: np.ndarray, lead: np.ndarray, label: np.ndarray, ridge: float = 0.005) -> Curve:
     """Logistic regression in which both classes weigh the same; without both the score is the share of class 1."""
     share = float(label.mean()) if len(label) else 0.5
-    if not 0 < share < 1:
+    if not 0 < share < 1 or not len(label):
         return Curve((float(np.log((share * len(label) + 0.5) / ((1 - share) * len(label) + 0.5))) if len(label) else 0.0, 0.0, 0.0, 0.0))
     x = np.stack([np.ones(len(label)), np.sqrt(excess), np.sqrt(strong), lead], axis=1)
     scale = np.maximum(x.std(axis=0), 1e-9)
