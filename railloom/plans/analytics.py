@@ -16,6 +16,9 @@ from railloom.functions.measures import rounded_or_zero
 from railloom.operators.predicates import contains, where_all
 
 
+PERFORMANCE = ["average_speed", "duree_minutes", "distance_km"]
+
+
 def _partials(facts: DataFrame, fk: str, measures: Sequence[str]) -> DataFrame:
     aggs = [f(m).alias(f"{p}_{m}") for m in measures for f, p in ((F.sum, "s"), (F.count, "n"))]
     known = facts.where(F.col(fk).isNotNull())
@@ -45,17 +48,25 @@ def emissions(
     operateur: str | None = None,
 ) -> DataFrame:
     """QRY11: CO2 by operator or by route, optionally for operators whose name contains a term."""
-    wanted = where_all(dim_operateur, contains(F.col("agency_name"), operateur))
+    rows = facts
+    if group_by == "route" and operateur:
+        keys = where_all(dim_operateur, contains(F.col("agency_name"), operateur)).select(F.col("agency_id").alias("operator_id"))
+        rows = facts.join(keys, "operator_id", "left_semi")
+    partials = _partials(rows, "route_id" if group_by == "route" else "operator_id", ["emissions_co2"])
+    return emissions_of(partials, dim_operateur, dim_route, group_by, operateur)
+
+
+def emissions_of(
+    partials: DataFrame, dim_operateur: DataFrame, dim_route: DataFrame, group_by: str = "operateur", operateur: str | None = None
+) -> DataFrame:
+    """QRY11 from sums and counts by operator, or by route (of the wanted operators)."""
+    measure = ["emissions_co2"]
     if group_by == "route":
-        rows = facts
-        if operateur:
-            keys = wanted.select(F.col("agency_id").alias("operator_id"))
-            rows = facts.join(keys, "operator_id", "left_semi")
         fk, dim, pk, label = "route_id", dim_route, "route_id", "route_long_name"
     else:
-        rows, fk, dim, pk, label = facts, "operator_id", wanted, "agency_id", "agency_name"
-    measure = ["emissions_co2"]
-    merged = _rolled_up(_partials(rows, fk, measure), fk, dim, pk, {"label": label}, measure)
+        wanted = where_all(dim_operateur, contains(F.col("agency_name"), operateur))
+        fk, dim, pk, label = "operator_id", wanted, "agency_id", "agency_name"
+    merged = _rolled_up(partials, fk, dim, pk, {"label": label}, measure)
     return merged.orderBy(F.desc_nulls_first("s_emissions_co2"), "label").select(
         "label",
         rounded_or_zero(F.col("s_emissions_co2"), 2).alias("total_emissions_co2"),
@@ -69,9 +80,14 @@ def station_traffic(
 ) -> DataFrame:
     """QRY12: journeys by station of departure or arrival; the passenger total is a constant 0."""
     fk = "gare_arrivee_id" if type == "arrivee" else "gare_depart_id"
+    return traffic_of(_partials(facts, fk, []), fk, dim_gare, pays)
+
+
+def traffic_of(partials: DataFrame, fk: str, dim_gare: DataFrame, pays: str | None = None) -> DataFrame:
+    """QRY12 from counts by station."""
     wanted = where_all(dim_gare, contains(F.col("country"), pays))
     labels = {"gare": "name", "ville": "city", "pays": "country"}
-    merged = _rolled_up(_partials(facts, fk, []), fk, wanted, "gare_id", labels, [])
+    merged = _rolled_up(partials, fk, wanted, "gare_id", labels, [])
     return merged.orderBy(F.desc("nb_trajets"), *labels).select(
         *labels, F.lit(0.0).alias("total_passengers"), "nb_trajets"
     )
@@ -81,10 +97,15 @@ def operator_performance(
     facts: DataFrame, dim_operateur: DataFrame, operateur: str | None = None
 ) -> DataFrame:
     """QRY13: mean speed, duration and distance by operator, fastest first."""
-    measure = ["average_speed", "duree_minutes", "distance_km"]
+    return performance_of(_partials(facts, "operator_id", PERFORMANCE), dim_operateur, operateur)
+
+
+def performance_of(partials: DataFrame, dim_operateur: DataFrame, operateur: str | None = None) -> DataFrame:
+    """QRY13 from sums and counts by operator."""
+    measure = PERFORMANCE
     wanted = where_all(dim_operateur, contains(F.col("agency_name"), operateur))
     merged = _rolled_up(
-        _partials(facts, "operator_id", measure),
+        partials,
         "operator_id",
         wanted,
         "agency_id",
@@ -110,3 +131,16 @@ def network_summary(facts: DataFrame) -> DataFrame:
         rounded_or_zero(F.avg("duree_minutes"), 1).alias("duree_moyenne_minutes"),
         rounded_or_zero(F.avg("average_speed"), 1).alias("vitesse_moyenne_kmh"),
     )
+
+
+def summary_of(partials: DataFrame) -> DataFrame:
+    """QRY14 from sums and counts; of no rows too."""
+    mean = {m: F.try_divide(F.sum(f"s_{m}"), F.sum(f"n_{m}")) for m in PERFORMANCE}
+    return partials.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_trajets"),
+        rounded_or_zero(F.sum("s_emissions_co2"), 2).alias("total_emissions_co2_kg"),
+        F.lit(0.0).alias("total_passengers"),
+        rounded_or_zero(mean["distance_km"], 1).alias("distance_moyenne_km"),
+        rounded_or_zero(mean["duree_minutes"], 1).alias("duree_moyenne_minutes"),
+        rounded_or_zero(mean["average_speed"], 1).alias("vitesse_moyenne_kmh"),
+    )
