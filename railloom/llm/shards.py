@@ -92,7 +92,7 @@ def shuffle(df: DataFrame, shards: int, seed: int) -> DataFrame:
     table = spark.createDataFrame(cuts, T.StructType([T.StructField("part", T.IntegerType()), T.StructField("ends", T.ArrayType(T.LongType()))]))
     shard = sum([(F.col("rank") >= F.col("ends")[s]).cast("int") for s in range(shards - 1)], F.lit(0))
     sent = (
-        mixed.join(table, "part")
+        mixed.join(F.broadcast(table), "part")  # partitions x shards numbers, which the driver holds anyway
         .select("row", shard.alias("shard"), F.xxhash64(F.lit(seed + 1), "part", "rank").alias("key"))
         .repartitionByRange(_partitions(spark), "shard", "key")
         .sortWithinPartitions("shard", "key")
@@ -107,7 +107,7 @@ def shuffle(df: DataFrame, shards: int, seed: int) -> DataFrame:
         filled[b["shard"]] += b["n"]
     kinds = [("part", T.IntegerType()), ("shard", T.IntegerType()), ("shift", T.LongType())]
     shifts = spark.createDataFrame(starts, T.StructType([T.StructField(n, t) for n, t in kinds]))
-    return sent.join(shifts, ["part", "shard"]).select("row.*", "shard", (F.col("rank") + F.col("shift")).alias("slot"))
+    return sent.join(F.broadcast(shifts), ["part", "shard"]).select("row.*", "shard", (F.col("rank") + F.col("shift")).alias("slot"))
 
 
 def _within_partition() -> Column:
