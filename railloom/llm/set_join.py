@@ -437,9 +437,13 @@ def components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
 
 def _odd(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Ids that rows with different texts share."""
+    own = F.col(f"`{id_col}`").cast("long").alias("_odd_id")
+    again = stage(df.where(F.col(f"`{id_col}`").isNotNull()).groupBy(own).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_odd_id"), "again-ids")
+    if again.isEmpty():
+        return again
     print_ = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    prints = df.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("long").alias("_odd_id"))
-    return prints.agg(F.min(print_).alias("low"), F.max(print_).alias("high")).where("low < high").select("_odd_id")
+    prints = df.select(own, print_.alias("print")).join(again, "_odd_id", "left_semi").groupBy("_odd_id")
+    return prints.agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low < high").select("_odd_id")
 
 
 def keyed(df: DataFrame, id_col: str = "doc_id", text: str = "text", key: str = "_key_of_row") -> DataFrame:
