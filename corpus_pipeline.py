@@ -49,10 +49,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one text stays. Rows with equal id and text stay or go together."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
     rows = set_join.keyed(whole)
-    groups = stage(set_join.keyed_components(rows.drop("row")), "groups")
-    # of several texts with the smallest id, as ids may repeat, the one with the smallest key
-    chosen = groups.where("component_id = coalesce(doc_id, key)").groupBy("group").agg(F.min("key").alias("chosen"))
-    dropped = groups.join(chosen, "group").where("key != chosen").select(F.col("key").alias("_dropped")).distinct()
+    groups = set_join.keyed_components(rows.drop("row"))
+    later = groups.where("component_id != coalesce(doc_id, key)").select("key")
+    # where several texts have the smallest id, as ids may repeat, the one with the smallest key stays
+    alike = groups.where("component_id = coalesce(doc_id, key) AND (doc_id IS NULL OR doc_id != key)").select("group", "key").distinct()
+    chosen = alike.groupBy("group").agg(F.min("key").alias("chosen"))
+    others = alike.join(chosen, "group").where("key != chosen").select("key")
+    dropped = later.union(others).select(F.col("key").alias("_dropped")).distinct()
     return rows.join(dropped, F.col("_key_of_row") == F.col("_dropped"), "left_anti").select("row.*")
 
 
