@@ -10,6 +10,12 @@ sorted as a whole:
 * for the rest, the dictionary of distinct phrases is put in suffix order (prefix doubling to a depth of 200 bytes),
   and the strings of equal rank add up how often their phrases occur in the parse.
 
+The dictionary is ordered in blocks, one per trigger. A trigger with more distinct phrases than a block holds is cut by
+something that equal strings share: they have the trigger at the same offset, so the offsets are halved, and the strings
+of one half have a longer stretch of bytes in common (the trigger and what surrounds it within all of them), which is
+the trigger of the next round. Equal halves are counted as one. After eight rounds at most the stretch is a whole
+string, whose equal copies are one row, so every block is final, whatever the frequency of a passage.
+
 What is carried to the documents are the strings that occur once; every other byte position starts a repeated one.
 Because phrases overlap by all but one byte of a string, suffixes of the parse beyond a phrase never decide a
 comparison, and the order of the parse needs no array of its own.
@@ -22,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +38,9 @@ from railloom.operators.staging import stage
 
 SPAN = 200
 TRIGGER = 64
-#: Phrases of one trigger that a block of the dictionary holds; more are dealt to several blocks and merged by hash.
-BLOCK_PHRASES = 500
 BLOCK_BYTES = 2 << 20
+#: Distinct phrases of one trigger that a block of the dictionary holds (about BLOCK_BYTES); beyond it offsets are halved.
+BLOCK_PHRASES = 6_000
 LENGTH_BITS = 12  # of a place: first start << LENGTH_BITS | number of strings - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,11 +116,12 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def parse(rows: DataFrame, span: int, trigger: int) -> DataFrame:
-    """The phrases: key of the trigger, hash of the phrase, how often, and one place (doc_id, copy, place).
+    """The phrases: key of the trigger, hash of the phrase, how often, one place (doc_id, copy, place) and ``lead``, the
+    offset of the trigger in the first string.
 
     Phrases that a slice of documents repeats are counted there already.
     """
-    names = ["trigger", "phrase", "n", "doc_id", "copy", "place"]
+    names = ["trigger", "phrase", "n", "doc_id", "copy", "place", "lead"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,10 +139,10 @@ def parse(rows: DataFrame, span: int, trigger: int) -> DataFrame:
                 pick = order[new]
                 owner = pa.array(text[pick])
                 place = (first - ends[text])[pick] << LENGTH_BITS | (last - first)[pick]
-                columns = [_signed(keys[new]), _signed(whole[new]), pa.array(counts), part.column("doc_id").take(owner), part.column("copy").take(owner), pa.array(place)]
+                columns = [_signed(keys[new]), _signed(whole[new]), pa.array(counts), part.column("doc_id").take(owner), part.column("copy").take(owner), pa.array(place), pa.array((at - first)[pick].astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return arrow_map(rows, work, "trigger long, phrase long, n long, doc_id long, copy long, place long")
+    return arrow_map(rows, work, "trigger long, phrase long, n long, doc_id long, copy long, place long, lead int")
 
 
 def suffix_classes(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
@@ -158,9 +166,10 @@ def suffix_classes(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarra
 
 
 def contexts(places: DataFrame, texts: DataFrame, span: int) -> DataFrame:
-    """The bytes of dictionary phrases, cut from the texts of their documents."""
-    fields = "trigger long, salt int, blocks int, n long, place long"
-    wanted = F.collect_list(F.struct("trigger", "salt", "blocks", "n", "place")).alias("wanted")
+    """The bytes of dictionary phrases, cut from the texts of their documents. Other columns of ``places`` go along."""
+    carried = [c for c in places.columns if c not in ("doc_id", "copy")]
+    types = dict(places.dtypes)
+    wanted = F.collect_list(F.struct(*carried)).alias("wanted")
     per_doc = places.groupBy("doc_id", "copy").agg(wanted).select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), "wanted")
     joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["_id"]) & (texts["copy"] == per_doc["_copy"]))
 
@@ -173,76 +182,123 @@ def contexts(places: DataFrame, texts: DataFrame, span: int) -> DataFrame:
                 place = wanted.field("place").to_numpy()
                 first, more = place >> LENGTH_BITS, place & ((1 << LENGTH_BITS) - 1)
                 blobs = [data[f : f + m + span] for f, m in zip(first.tolist(), more.tolist(), strict=True)]
-                size = len(blobs)
-                columns = [wanted.field(c) for c in ("trigger", "salt", "blocks", "n", "place")]
-                columns += [pa.array([batch.column(c)[row].as_py()] * size, pa.int64()) for c in ("doc_id", "copy")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], ["trigger", "salt", "blocks", "n", "place", "doc_id", "copy", "bytes"])
+                columns = [wanted.field(c) for c in carried]
+                columns += [pa.array([batch.column(c)[row].as_py()] * len(blobs), pa.int64()) for c in ("doc_id", "copy")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(blobs, pa.binary())], [*carried, "doc_id", "copy", "bytes"])
+
+    schema = ", ".join([f"{c} {types[c]}" for c in carried] + ["doc_id long, copy long, bytes binary"])
+    return arrow_map(joined.select("doc_id", "copy", "packed", "wanted"), work, schema)
+
 
-    return arrow_map(joined.select("doc_id", "copy", "packed", "wanted"), work, fields + ", doc_id long, copy long, bytes binary")
+def halves(table: pa.Table, span: int) -> pa.RecordBatch:
+    """Phrases cut in two by the offset of their trigger; equal halves of one trigger are counted together.
+
+    The strings of a phrase have their trigger at offsets low..high (``lead`` is that of the first one, the next string
+    has one less). Those of a half share the bytes from ``low`` before the trigger to ``span - high`` after its start;
+    their hash, with the bounds of the half, is the new trigger.
+    """
+    place, lead, low, high = (table.column(c).to_numpy() for c in ("place", "lead", "low", "high"))
+    first, last = place >> LENGTH_BITS, place & ((1 << LENGTH_BITS) - 1)
+    data, ends = flat_bytes(table.column("bytes").chunk(0))
+    middle = (low + high + 1) // 2
+    # strings 0..upper have the trigger at the middle or beyond, the others before it
+    upper = np.minimum(lead - middle, last)
+    row = np.arange(len(place))
+    parts = [(row, np.zeros_like(last), upper, middle, high), (row, np.maximum(upper + 1, 0), last, low, middle - 1)]
+    row, begin, end, low, high = (np.concatenate(c) for c in zip(*parts, strict=True))
+    there = begin <= end
+    row, begin, end, low, high = (c[there] for c in (row, begin, end, low, high))
+    rolling = Rolling(data)
+    at = ends[row] + lead[row]
+    bounds = mix(low.astype(np.uint64) << np.uint64(32) | high.astype(np.uint64))
+    keys = rolling.of(at - low, at - high + span) ^ bounds
+    shape = (end - begin).astype(np.uint64) << np.uint64(32) | (lead[row] - begin).astype(np.uint64)
+    whole = rolling.of(ends[row] + begin, ends[row] + end + span) ^ mix(shape)
+    order = np.lexsort((whole, keys))
+    new = np.flatnonzero(np.r_[True, (np.diff(keys[order].view(np.int64)) != 0) | (np.diff(whole[order].view(np.int64)) != 0)])
+    count = np.add.reduceat(table.column("n").to_numpy()[row][order], new)
+    pick = order[new]
+    owner = pa.array(row[pick])
+    flat = data.tobytes()
+    blobs = [flat[a:b] for a, b in zip((ends[row] + begin)[pick].tolist(), (ends[row] + end + span)[pick].tolist(), strict=True)]
+    columns = [
+        _signed(keys[pick]), _signed(whole[pick]), pa.array(count), *[table.column(c).chunk(0).take(owner) for c in ("doc_id", "copy")],
+        pa.array((first[row] + begin)[pick] << LENGTH_BITS | (end - begin)[pick]), pa.array((lead[row] - begin)[pick].astype(np.int32)),
+        pa.array(low[pick].astype(np.int32)), pa.array(high[pick].astype(np.int32)), pa.array(blobs, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, PIECE)
+
+
+PIECE = ["trigger", "phrase", "n", "doc_id", "copy", "place", "lead", "low", "high", "bytes"]
+
+
+def runs_alone(table: pa.Table, span: int) -> pa.RecordBatch:
+    """Runs of strings that occur once among all phrases of the table: owner's doc_id and copy, and place."""
+    n_strings = (table.column("place").to_numpy() & ((1 << LENGTH_BITS) - 1)) + 1
+    data, ends = flat_bytes(table.column("bytes").chunk(0))
+    owner = np.repeat(np.arange(len(n_strings)), n_strings)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(n_strings) - n_strings, n_strings)
+    kind = suffix_classes(data, ends[owner] + offset, span)
+    total = np.bincount(kind, weights=table.column("n").to_numpy()[owner])
+    at = np.flatnonzero(total[kind] == 1)
+    fresh = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])] if len(at) else np.zeros(0, bool)
+    begin = at[fresh]
+    length = np.diff(np.r_[np.flatnonzero(fresh), len(at)])
+    first = (table.column("place").to_numpy() >> LENGTH_BITS)[owner[begin]] + offset[begin]
+    who = pa.array(owner[begin])
+    ids = {c: table.column(c).chunk(0).take(who) for c in ("doc_id", "copy")}
+    made = ids | {"place": pa.array(first << LENGTH_BITS | length - 1)}
+    kinds = {"lead": pa.int32(), "low": pa.int32(), "high": pa.int32(), "bytes": pa.binary()}
+    return pa.RecordBatch.from_arrays([made[c] if c in made else pa.nulls(len(begin), kinds.get(c, pa.int64())) for c in PIECE], PIECE)
 
 
 def resolve(dictionary: DataFrame, span: int) -> DataFrame:
-    """Strings of the dictionary by their place in suffix order: runs that occur once within their block.
+    """Places of runs of strings that occur once (trigger is null), and the halves of what no block holds.
 
-    Rows of triggers with one block are final: place of a run of strings that occur once (print is null). Triggers
-    with several blocks give every distinct string once, with its hash and count, to be merged.
+    Phrases of a trigger with one block meet in one task, the others are spread by salt and only cut in two.
     """
-    names = ["trigger", "print", "n", "doc_id", "copy", "place"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            keys = batch.column("trigger").to_numpy()
             if held and size > BLOCK_BYTES:
-                # whole groups only: the group of the last row held may go on in this batch
-                cut = int(np.argmax(np.r_[keys != held[-1].column("trigger")[-1].as_py(), True]))
+                # whole blocks only: that of the last row held may go on in this batch; what is only cut ends anywhere
+                other = batch.column("trigger").to_numpy() != held[-1].column("trigger")[-1].as_py()
+                cut = int(np.argmax(np.r_[other | (batch.column("blocks").to_numpy() > 1), True]))
                 held.append(batch.slice(0, cut))
                 batch = batch.slice(cut)
                 if len(batch):
-                    yield ranked(held)
+                    yield from settled(held)
                     held, size = [], 0
             if len(batch):
                 held.append(batch)
                 size += batch.column("bytes").nbytes
         if held:
-            yield ranked(held)
-
-    def ranked(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held).combine_chunks()
-        blobs = table.column("bytes").chunk(0)
-        n_strings = (table.column("place").to_numpy() & ((1 << LENGTH_BITS) - 1)) + 1
-        data, ends = flat_bytes(blobs)
-        owner = np.repeat(np.arange(len(n_strings)), n_strings)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(n_strings) - n_strings, n_strings)
-        starts = ends[owner] + offset
-        kind = suffix_classes(data, starts, span)
-        weight = table.column("n").to_numpy()[owner]
-        total = np.bincount(kind, weights=weight).astype(np.int64)
-        several = table.column("blocks").to_numpy()[owner] > 1
-        alone = (total[kind] == 1) & ~several
-        at = np.flatnonzero(alone)
-        fresh = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])] if len(at) else np.zeros(0, bool)
-        begin = at[fresh]
-        length = np.diff(np.r_[np.flatnonzero(fresh), len(at)])
-        merge = np.flatnonzero(several)
-        merge = merge[np.unique(kind[merge], return_index=True)[1]]
-        pick = np.concatenate([begin, merge])
-        length = np.concatenate([length, np.ones(len(merge), np.int64)])
-        hashes = Rolling(data).of(starts[merge], starts[merge] + span).view(np.int64)
-        print_ = pa.array(np.concatenate([np.zeros(len(begin), np.int64), hashes]), mask=np.arange(len(pick)) < len(begin))
-        first = (table.column("place").to_numpy() >> LENGTH_BITS)[owner[pick]] + offset[pick]
-        who = pa.array(owner[pick])
-        columns = [table.column("trigger").chunk(0).take(who), print_, pa.array(total[kind[pick]])]
-        columns += [table.column(c).chunk(0).take(who) for c in ("doc_id", "copy")] + [pa.array(first << LENGTH_BITS | length - 1)]
-        return pa.RecordBatch.from_arrays(columns, names)
+            yield from settled(held)
 
+    def settled(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        one = pa.array(table.column("blocks").to_numpy() == 1)
+        for part, of in ((table.filter(one), runs_alone), (table.filter(pc.invert(one)), halves)):
+            if len(part):
+                yield of(part.combine_chunks(), span)
+
+    schema = "trigger long, phrase long, n long, doc_id long, copy long, place long, lead int, low int, high int, bytes binary"
     dealt = dictionary.repartition("trigger", "salt").sortWithinPartitions("trigger", "salt")
-    return arrow_map(dealt, work, "trigger long, print long, n long, doc_id long, copy long, place long")
+    return arrow_map(dealt, work, schema)
+
+
+def _dealt(phrases_: DataFrame) -> DataFrame:
+    """With the block of each phrase: one per trigger, or as many as its ``rows`` phrases fill. A single string has one."""
+    blocks = F.when(F.col("low") == F.col("high"), 1).otherwise(F.ceil(F.col("rows") / BLOCK_PHRASES)).cast("int")
+    return phrases_.withColumn("blocks", blocks).withColumn("salt", F.pmod("phrase", "blocks").cast("int")).drop("rows")
 
 
 def repeated(rows: DataFrame, span: int = SPAN, trigger: int = TRIGGER) -> DataFrame:
     """Runs of string starts that occur once in the corpus: doc_id, copy, place. rows: doc_id, copy, text."""
+    # a frequent trigger is split over tasks in the join, too, though the sum after it then needs an exchange
+    rows.sparkSession.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     place = ["doc_id", "copy", "place"]
     counted = parse(rows, span, trigger).groupBy("trigger").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("phrase").alias("low"), F.max("phrase").alias("high"), *[F.first(c).alias(c) for c in place]
@@ -254,19 +310,27 @@ def repeated(rows: DataFrame, span: int = SPAN, trigger: int = TRIGGER) -> DataF
         ),
         "phrases",
     )
-    mixed = found.where("trigger IS NOT NULL").select("trigger", F.ceil(F.col("rows") / BLOCK_PHRASES).cast("int").alias("blocks"))
+    mixed = found.where("trigger IS NOT NULL").select("trigger", "rows")
     again = parse(rows, span, trigger).join(mixed, "trigger")
-    distinct = again.groupBy("trigger", "phrase").agg(F.sum("n").alias("n"), F.first("blocks").alias("blocks"), *[F.first(c).alias(c) for c in place])
-    salted = distinct.withColumn("salt", F.pmod(F.col("phrase"), F.col("blocks")).cast("int"))
-    resolved = stage(resolve(contexts(salted, packed(rows, ["doc_id", "copy"]), span), span), "dictionary")
-    merged = (
-        resolved.where("print IS NOT NULL").groupBy("trigger", "print").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in place]).where("n = 1")
-    )
-    return (
-        found.where("trigger IS NULL").select(*place)
-        .union(resolved.where("print IS NULL").select(*place))
-        .union(merged.select(*place))
-    )
+    distinct = again.groupBy("trigger", "phrase").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("rows", *place, "lead")])
+    ranged = distinct.withColumn("low", F.lit(0)).withColumn("high", F.lit(span - trigger))
+    alone = found.where("trigger IS NULL").select(*place)
+    level = contexts(_dealt(ranged), packed(rows, ["doc_id", "copy"]), span)
+    most = mixed.agg(F.max("rows")).head()[0] or 0
+    while True:
+        resolved = stage(resolve(level, span), "dictionary")
+        alone = alone.union(resolved.where("trigger IS NULL").select(*place))
+        if most <= BLOCK_PHRASES:
+            return alone
+        cut = resolved.where("trigger IS NOT NULL")
+        rest = [c for c in PIECE if c not in ("trigger", "phrase", "n")]
+        same = cut.groupBy("trigger", "phrase").agg(F.sum("n").alias("n"), F.first(F.struct(*rest)).alias("one")).select("trigger", "phrase", "n", "one.*")
+        same = stage(same, "halves")
+        sizes = same.groupBy("trigger").agg(F.count(F.lit(1)).alias("rows"))
+        # one row per trigger that no block holds: few, as each stands for thousands of phrases
+        large = stage(sizes.where(F.col("rows") > BLOCK_PHRASES), "large")
+        most = BLOCK_PHRASES + 1 if large.limit(1).count() else 0
+        level = _dealt(same.join(large, "trigger", "left").withColumn("rows", F.coalesce("rows", F.lit(1).cast("long"))))
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = SPAN, trigger: int = TRIGGER) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,9 +198,10 @@ def cut_rows(df, **how) -> list[tuple]:
     return sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("block", [500, 1])
+@pytest.mark.parametrize("block", [6000, 3, 1])
 def test_short_spans_against_brute_force(spark, monkeypatch, block):
-    """A small alphabet, so that strings repeat by chance everywhere; with block 1 every trigger is dealt to many."""
+    """A small alphabet, so that strings repeat by chance everywhere; with blocks of one phrase every trigger is
+    halved down to single strings."""
     monkeypatch.setattr(phrase_dedup, "BLOCK_PHRASES", block)
     rng = random.Random(8)
     texts = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 400))) for _ in range(60)]
@@ -208,7 +210,7 @@ def test_short_spans_against_brute_force(spark, monkeypatch, block):
     assert cut_rows(docs, span=20, trigger=8) == brute_cut([(n, t.encode()) for n, t in enumerate(texts)], 20)
 
 
-@pytest.mark.parametrize("block", [500, 1])
+@pytest.mark.parametrize("block", [6000, 1])
 @pytest.mark.parametrize("nulls", [1, 3])
 def test_rows_without_id_against_brute_force(spark, monkeypatch, block, nulls):
     """Near copies of over 200 bytes, of which one row or several have no id."""
@@ -221,6 +223,42 @@ def test_rows_without_id_against_brute_force(spark, monkeypatch, block, nulls):
     assert cut_rows(docs) == brute_cut([(i, t.encode()) for i, t in rows], 200)
 
 
+@pytest.mark.parametrize("block", [600, 25])
+def test_a_passage_of_most_rows_against_brute_force(spark, monkeypatch, block):
+    """One passage in 700 rows, its neighbours unlike, alike in a few bytes, or cut short: over 500 phrases of a trigger."""
+    monkeypatch.setattr(phrase_dedup, "BLOCK_PHRASES", block)
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    texts = []
+    for n in range(700):
+        before = "".join(rng.choice("xy") for _ in range(rng.choice((2, 9, 120))))
+        texts.append(before + passage[rng.choice((0, 0, 0, 31)) : rng.choice((260, 260, 229))] + "".join(rng.choice("xyz") for _ in range(60)) + str(n))
+    docs = cases.documents(spark, [(n, t, None) for n, t in enumerate(texts)]).repartition(4)
+    assert cut_rows(docs) == brute_cut([(n, t.encode()) for n, t in enumerate(texts)], 200)
+
+
+def test_halves_keep_every_string():
+    """Strings and their counts before and after a phrase is cut in two; equal strings get equal triggers."""
+    rng = np.random.default_rng(12)
+    data = rng.integers(97, 99, 120).astype(np.uint8)
+    span, trigger = 20, 8
+    text, first, last, at = phrase_dedup.phrases(phrase_dedup.Rolling(data), np.array([0, len(data)]), span, trigger)
+    blobs = [data[f : t + span].tobytes() for f, t in zip(first, last, strict=True)]
+    n = len(first)
+    columns = {"trigger": [0] * n, "phrase": list(range(n)), "n": [3] * n, "doc_id": [1] * n, "copy": [0] * n, "place": first << phrase_dedup.LENGTH_BITS | last - first}
+    columns |= {"lead": (at - first).astype(np.int32), "low": np.zeros(n, np.int32), "high": np.full(n, span - trigger, np.int32), "bytes": blobs}
+    for _ in range(4):
+        cut = phrase_dedup.halves(pa.table(columns).combine_chunks(), span)
+        seen, keys = Counter(), {}
+        for row in cut.to_pylist():
+            for i in range((row["place"] & ((1 << phrase_dedup.LENGTH_BITS) - 1)) + 1):
+                string = row["bytes"][i : i + span]
+                seen[string] += row["n"]
+                assert row["low"] <= row["lead"] - i <= row["high"] and keys.setdefault(string, row["trigger"]) == row["trigger"]
+        assert seen == Counter({s: 3 * c for s, c in Counter(data[i : i + span].tobytes() for i in range(len(data) - span + 1)).items()})
+        columns = {c: cut.column(c) for c in cut.schema.names}
+
+
 def test_odd_documents_keep_what_is_unique(spark):
     texts = [(i, (t or "").encode()) for i, t, _ in cases.TEXTS if t != cases.LONG and t != cases.LONG + " end"]
     docs = cases.documents(spark).where("n_chars IS NULL AND (text IS NULL OR length(text) < 10000)")
