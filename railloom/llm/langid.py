@@ -4,14 +4,15 @@ Per language a suffix automaton holds a bounded sample of labelled text. A text
 phrases that occur in the sample; phrases x log2(sample size) / symbols estimates how many bits a symbol costs in that
 language, and the cheapest language wins. The automata are completed into transition tables (a symbol that cannot be
 matched ends the phrase and begins the next one), so thousands of blocks of text advance together, one symbol a step.
-Symbols are lower-case letters; everything between two letters is one gap.
+Symbols are lower-case letters; everything between two letters is one gap. No letter of the sample is lost: those beyond
+the SINGLE most frequent are spelled with two symbols each, so scripts of thousands of letters keep the tables narrow.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,10 @@ from pyspark.sql import functions as F
 from railloom.llm.batches import map_texts
 
 GAP, OTHER, FIRST_LETTER = 0, 1, 2
+#: Letters that are one symbol each; the rest of the sample's letters take two.
+SINGLE = 60
+#: Most entries of all transition tables together (4 bytes each): the model is broadcast.
+MOST_ENTRIES = 1 << 28
 BLOCK = 512
 UNKNOWN = "und"
 #: How fast the score falls with the bits that a symbol costs more than in the best language.
@@ -79,67 +84,100 @@ class SuffixAutomaton:
 @dataclass
 class Model:
     languages: list[str]
-    letters: list[str]
+    letters: list[str]  # of one symbol
     table: np.ndarray  # all languages below each other, flat
     roots: np.ndarray  # flat position of each root
     bits: np.ndarray  # of one phrase
+    spelled: list[str] = field(default_factory=list)  # letters of two symbols
 
     @property
     def width(self) -> int:
-        return len(self.letters) + FIRST_LETTER + 1
+        return width_of(self.letters, self.spelled)
 
 
-_classes: dict[tuple[str, ...], np.ndarray] = {}
+def digits_of(spelled: list[str]) -> int:
+    """Symbols that spell the letters beyond the single ones, two at a time."""
+    return math.isqrt(len(spelled) - 1) + 1 if spelled else 0
 
 
-def classes_of(letters: list[str]) -> np.ndarray:
-    """Symbol of every code point."""
-    key = tuple(letters)
+def width_of(letters: list[str], spelled: list[str]) -> int:
+    return len(letters) + digits_of(spelled) + FIRST_LETTER + 1
+
+
+_classes: dict[tuple[tuple[str, ...], tuple[str, ...]], np.ndarray] = {}
+
+
+def classes_of(letters: list[str], spelled: list[str]) -> np.ndarray:
+    """Symbol of every code point; a spelled letter has the rank it is spelled from, above all symbols."""
+    key = tuple(letters), tuple(spelled)
     if key not in _classes:
-        kinds = np.zeros(0x110000, np.uint8)
+        kinds = np.zeros(0x110000, np.int32)
         kinds[[n for n in range(0x110000) if not 0xD800 <= n < 0xE000 and chr(n).isalpha()]] = OTHER
         kinds[[ord(c) for c in letters]] = np.arange(FIRST_LETTER, FIRST_LETTER + len(letters))
+        kinds[[ord(c) for c in spelled]] = width_of(letters, spelled) + np.arange(len(spelled))
         _classes[key] = kinds
     return _classes[key]
 
 
-def symbols_of(texts: list[str], letters: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def symbols_of(texts: list[str], letters: list[str], spelled: list[str] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts back to back, gaps joined, and how many each text has."""
+    spelled = spelled or []
     lowered = [t.lower() for t in texts]
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = classes_of(letters)[points]
+    found = classes_of(letters, spelled)[points]
     owner = np.repeat(np.arange(len(texts)), sizes)
     stays = np.ones(len(found), bool)
     stays[1:] = (found[1:] != GAP) | (found[:-1] != GAP) | (owner[1:] != owner[:-1])
-    return found[stays], np.bincount(owner[stays], minlength=len(texts))
-
-
-def fit(samples: dict[str, list[str]], symbols_per_language: int, letters: int = 60) -> Model:
-    """Automata over equal shares of each language's texts, ``symbols_per_language`` at most."""
+    found, owner = found[stays], owner[stays]
+    width = width_of(letters, spelled)
+    if spelled:
+        digits, first = digits_of(spelled), FIRST_LETTER + len(letters)
+        two = found >= width
+        rank = np.where(two, found - width, 0)
+        at = np.cumsum(1 + two) - 1 - two
+        out = np.empty(len(found) + int(two.sum()), np.int32)
+        out[at] = np.where(two, first + rank // digits, found)
+        out[at[two] + 1] = first + rank[two] % digits
+        found, owner = out, np.repeat(owner, 1 + two)
+    return found.astype(np.min_scalar_type(width)), np.bincount(owner, minlength=len(texts))
+
+
+def fit(samples: dict[str, list[str]], symbols_per_language: int, single: int = SINGLE) -> Model:
+    """Automata over equal shares of each language's texts, ``symbols_per_language`` at most.
+
+    Every letter of the samples is told apart: the ``single`` most frequent of all languages together are one symbol,
+    the others two. Letters that no sample has are alike, as no language can match them. The tables of all languages
+    have MOST_ENTRIES entries at most, else this raises ValueError: fewer symbols per language are needed then.
+    """
     languages = sorted(samples)
     seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-    alphabet = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:letters])
-    width = len(alphabet) + FIRST_LETTER + 1
-    tables, bits = [], []
+    ranked = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+    letters, spelled = sorted(ranked[:single]), sorted(ranked[single:])
+    width = width_of(letters, spelled)
+    tables, bits, entries = [], [], 0
     for language in languages:
         texts = samples[language]
         share = -(-symbols_per_language // max(1, len(texts)))
-        flat, counts = symbols_of(texts, alphabet)
+        flat, counts = symbols_of(texts, letters, spelled)
         ends = np.cumsum(counts)
         sequence = np.concatenate([flat[e - n : e][:share] for n, e in zip(counts, ends, strict=True)] or [np.zeros(0, np.uint8)])
-        tables.append(SuffixAutomaton(sequence.tolist()).table(width))
+        automaton = SuffixAutomaton(sequence.tolist())
+        entries += (len(automaton.next) + 1) * width
+        if entries > MOST_ENTRIES:
+            raise ValueError(f"{len(languages)} languages of {symbols_per_language} symbols make more than {MOST_ENTRIES} transitions")
+        tables.append(automaton.table(width))
         bits.append(math.log2(len(sequence) + 2))
     starts = np.cumsum([0] + [t.size for t in tables])
     flat = [(t + 2 * s).ravel() for t, s in zip(tables, starts[:-1], strict=True)]
-    return Model(languages, alphabet, np.concatenate([*flat, np.zeros(0)]).astype(np.int32), starts[:-1], np.array(bits))
+    return Model(languages, letters, np.concatenate([*flat, np.zeros(0)]).astype(np.int32), starts[:-1], np.array(bits), spelled)
 
 
 def phrases(model: Model, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """[text, language]: phrases of each text. Texts are parsed in blocks, a block begins a phrase of its own."""
     blocks = -(-counts // BLOCK)
     total = int(blocks.sum())
-    grid = np.full(total * BLOCK, model.width - 1, np.uint8)
+    grid = np.full(total * BLOCK, model.width - 1, np.min_scalar_type(model.width))
     first_block = np.cumsum(blocks) - blocks
     begins = np.cumsum(counts) - counts
     grid[np.arange(len(symbols)) + np.repeat(first_block * BLOCK - begins, counts)] = symbols
@@ -157,7 +195,7 @@ def phrases(model: Model, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray
 
 def predict(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Language and score (its share among all languages) of every text; ``und`` and 0 without letters."""
-    symbols, counts = symbols_of(texts, model.letters)
+    symbols, counts = symbols_of(texts, model.letters, model.spelled)
     owner = np.repeat(np.arange(len(texts)), counts)
     lettered = np.bincount(owner, weights=symbols != GAP, minlength=len(texts)) > 0
     if not model.languages:
@@ -190,7 +228,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, .
     Null, empty and letterless texts are ``und`` with score 0, and so is everything if nothing was learned. Equal
     costs go to the first language in order of name. A kept column called ``lang_pred`` or ``score`` is replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the sample: languages x symbols x letters
+    shared = df.sparkSession.sparkContext.broadcast(model)  # 4 x MOST_ENTRIES bytes at most, see fit()
 
     def work(texts: pa.Array) -> list[pa.Array]:
         names, scores = predict(shared.value, texts.to_pylist())

@@ -48,6 +48,42 @@ def test_texts_in_blocks_and_batches_do_not_mix():
         assert one == [name] and two[0] == score
 
 
+#: First letter and size of the alphabets of invented scripts.
+SCRIPTS = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 24), "he": (0x5D0, 27), "ar": (0x620, 42), "hi": (0x905, 52), "zh": (0x4E00, 3000), "ja": (0x3041, 86), "ko": (0xAC00, 2000)}
+
+
+def test_many_scripts_at_once():
+    """Two languages of each script that share all its letters, told apart by their words alone."""
+    rng = np.random.default_rng(3)
+    made: dict[str, list[str]] = {}
+    for name, (first, n) in SCRIPTS.items():
+        for kind in "ab":
+            letters = [chr(first + i) for i in range(n) if chr(first + i).isalpha()]
+            words = ["".join(rng.choice(letters, rng.integers(2, 7))) for _ in range(400)]
+            made[name + kind] = [" ".join(rng.choice(words, 60)) for _ in range(84)]
+    model = langid.fit({k: v[:64] for k, v in made.items()}, 24_000)
+    every = {c for texts in made.values() for t in texts[:64] for c in t.lower() if c.isalpha()}
+    assert len(model.letters) == langid.SINGLE and {*model.letters, *model.spelled} == every
+    for name, texts in made.items():
+        assert np.mean([x == name for x in langid.predict(model, texts[64:])[0]]) >= 0.95, name
+
+
+def test_spelled_letters_are_told_apart():
+    texts = ["abc xyz", "", "q", "a z"]
+    plain, counts = langid.symbols_of(texts, ["a"], list("bcqxyz"))
+    assert counts.tolist() == [1 + 2 + 2 + 1 + 6, 0, 2, 4]
+    ends = np.cumsum(counts)
+    parts = [tuple(plain[e - n : e]) for e, n in zip(ends, counts, strict=True)]
+    assert parts[0][:1] == parts[3][:1] and parts[0][-2:] == parts[3][-2:] and len({parts[0][1:3], parts[0][3:5], parts[2], parts[0][-2:]}) == 4
+    assert max(plain) < langid.width_of(["a"], list("bcqxyz")) - 1
+
+
+def test_tables_beyond_the_bound_are_refused(monkeypatch):
+    monkeypatch.setattr(langid, "MOST_ENTRIES", 1000)
+    with pytest.raises(ValueError, match="transitions"):
+        langid.fit({"en": [cases.ENGLISH * 5]}, 2000)
+
+
 def test_identify_odd_documents(spark):
     docs = cases.documents(spark)
     model = langid.learn(docs)
