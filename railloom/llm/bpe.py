@@ -33,12 +33,40 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+#: What a vocabulary file says of the rules that this module follows.
+MODEL_RULES = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+BYTE_RULES = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}}
+TOKEN_RULES = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+
+
+def require(path: str, found: object, wanted: object, at: str = "") -> None:
+    """Raises ValueError where a vocabulary file asks for other rules than ``wanted``; keys not wanted may be anything,
+    one that the file lacks counts as null or false."""
+    if isinstance(wanted, dict) and isinstance(found, dict):
+        for key, value in wanted.items():
+            require(path, found.get(key, False if value is False else None), value, f"{at}/{key}")
+    elif isinstance(wanted, list) and isinstance(found, list) and len(wanted) == len(found):
+        for n, value in enumerate(wanted):
+            require(path, found[n], value, f"{at}/{n}")
+    elif found != wanted:
+        raise ValueError(f"{path}: {at} is {found!r}, only {wanted!r} is supported")
+
+
+def vocabulary_of(path: str, rules: dict, suffix: str | None) -> dict:
+    """The vocabulary file, if its rules are those that the caller follows."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    require(path, spec, {"model": MODEL_RULES | {"end_of_word_suffix": suffix}} | rules)
+    for token in spec["added_tokens"]:
+        require(path, token, TOKEN_RULES, "/added_tokens")
+    return spec
+
+
 class Merges:
-    """Sorted pair keys with rank and result, and the bytes of every id."""
+    """Sorted pair keys with rank and result, and the bytes of every id. Files with other rules raise ValueError."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = vocabulary_of(path, BYTE_RULES, None)
         vocab: dict[str, int] = spec["model"]["vocab"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}

@@ -29,7 +29,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railloom.llm.batches import arrow_map, ragged, slices
+from railloom.llm.batches import BATCH_BYTES, arrow_map, ragged, slices
+from railloom.llm.bpe import vocabulary_of
 
 HEAD, META = struct.Struct("<QI"), struct.Struct("<qBBI")
 MASK_SHIFT, MASK_ADD = 15, 0xA282EAD8
@@ -40,6 +41,20 @@ ARROW = {"int": pa.int32(), "long": pa.int64(), "array<int>": pa.list_(pa.int32(
 
 #: Fixed value: the pre-tokenizer pattern of the public lower-case word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What the vocabulary file says of normalisation and words, as split() and WORDS do them.
+WORD_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+        ],
+    },
+}
 #: Control characters that str.split() takes for white space and Unicode does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -78,12 +93,14 @@ def unframe(data: bytes | pa.Buffer, at: int = 0) -> Iterator[tuple[int | None,
 class WordTokenizer:
     """The tokenizers library on distinct words: lower case, NFC, words by the pattern, ids kept per chunk of text.
 
-    White space never takes part in a token, so a text is cut there and a chunk is encoded once per task.
+    White space never takes part in a token, so a text is cut there and a chunk is encoded once per task. A vocabulary
+    file with other rules raises ValueError.
     """
 
     def __init__(self, path: str, limit: int = TABLE_CHUNKS):
         from tokenizers import Tokenizer
 
+        vocabulary_of(path, WORD_RULES, "</w>")
         library = Tokenizer.from_file(path)
         self.tokens_of, self.limit = library.model.tokenize, limit
         self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
@@ -269,8 +286,31 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_shuffled(spark: SparkSession, path: str, seed: int) -> DataFrame:
-    """Records in a random order that the seed fixes: the index is shuffled, then the payloads are cut out by offset."""
-    order = read_index(spark, path).withColumn("place", F.xxhash64(F.lit(seed), "file", "record"))
-    payload = F.substring(F.col("content"), (F.col("offset") + 1).cast("int"), F.col("length").cast("int"))
-    cut = order.join(_files(spark, path), "file").select("place", "file", "record", "doc_id", payload.alias("payload"))
-    return cut.orderBy("place", "file", "record")
+    """Records in a random order that the seed fixes: place, file, record, doc_id and payload.
+
+    Every file is read once and cut into its records in one pass, so what is shuffled are the payloads alone. Every
+    checksum is verified; damage fails the job.
+    """
+    schema = "file int, record long, doc_id long, payload binary"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
+                data = content.as_buffer()
+                held: list[tuple] = []
+                size = 0
+                for record, (doc_id, _, at, length) in enumerate(unframe(data)):
+                    held.append((file, record, doc_id, data.slice(at, length).to_pybytes()))
+                    size += length
+                    if size > BATCH_BYTES:
+                        yield payloads(held)
+                        held, size = [], 0
+                yield payloads(held)
+
+    def payloads(held: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*held, strict=True) if held else [()] * 4
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema_names(schema))
+
+    cut = arrow_map(_files(spark, path), work, schema)
+    return cut.select(F.xxhash64(F.lit(seed), "file", "record").alias("place"), *schema_names(schema)).orderBy("place", "file", "record")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter
@@ -107,6 +108,45 @@ def test_records_of_odd_documents(spark, tmp_path):
     assert records.read(spark, str(tmp_path / "none")).count() == 0 and records.read_index(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_shuffled_reads_of_large_files(spark, tmp_path):
+    """10,000 records a file: no join in the plan, so no file content in one, and the order depends on the seed alone."""
+    path = str(tmp_path / "large")
+    records.write(cases.documents(spark, [(n, f"word {n}", None) for n in range(20_000)]), path, WORD, end_id=1, files=2)
+    shuffled = records.read_shuffled(spark, path, 5)
+    assert "Join" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    rows = [(r["file"], r["record"], r["doc_id"]) for r in shuffled.select("file", "record", "doc_id").collect()]
+    index = [(r["file"], r["record"], r["doc_id"]) for r in records.read_index(spark, path).collect()]
+    assert sorted(rows) == sorted(index) and len(rows) == 20_000 and rows != sorted(rows)
+    # neighbours come from anywhere: half of them from the other file
+    assert 0.45 < np.mean([a[0] != b[0] for a, b in zip(rows, rows[1:])]) < 0.55
+    again = records.read_shuffled(spark, path, 5).select("doc_id").head(50)
+    other = records.read_shuffled(spark, path, 6).select("doc_id").head(50)
+    assert [r["doc_id"] for r in again] == [r[2] for r in rows[:50]] != [r["doc_id"] for r in other]
+
+
+@pytest.mark.parametrize(
+    "of, change",
+    [
+        ("byte", lambda s: s.update(normalizer={"type": "NFC"})),
+        ("byte", lambda s: s["pre_tokenizer"].update(add_prefix_space=True)),
+        ("byte", lambda s: s["model"].update(byte_fallback=True)),
+        ("byte", lambda s: s["added_tokens"][0].update(lstrip=True)),
+        ("word", lambda s: s["normalizer"]["normalizers"].pop()),
+        ("word", lambda s: s["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex="x")),
+        ("word", lambda s: s["model"].update(end_of_word_suffix=None)),
+    ],
+)
+def test_vocabularies_with_other_rules_are_refused(tmp_path, of, change):
+    source, build = (BYTE, bpe.Merges) if of == "byte" else (WORD, records.WordTokenizer)
+    with open(source, encoding="utf-8") as file:
+        spec = json.load(file)
+    change(spec)
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="supported"):
+        build(str(other))
+
+
 def test_damage_is_found():
     data = records.frame(7, np.arange(5)) + b"\n" + records.frame(None, np.array([70_000])) + b"\n"
     assert [(d, i.tolist()) for d, i, _, _ in records.unframe(data)] == [(7, [0, 1, 2, 3, 4]), (None, [70_000])]
