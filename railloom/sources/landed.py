@@ -7,7 +7,10 @@ however the file is split.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +32,10 @@ MOST_COLUMNS = 2000
 SEPARATORS = (";", ",", "\t")
 SNIFFED_SEPARATORS = (",", ";", "\t", "|")
 
+#: Lines of a file that its dialect is found from, and headers that the files of one folder may have.
+SAMPLE_LINES = 20
+MOST_DIALECTS = 100
+
 
 def _position(file: Column, block: Column, line: Column, item: Column) -> Column:
     return F.struct(
@@ -68,38 +75,86 @@ def read_cube(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(spark, path, "\t")
 
 
-def header_line(spark: SparkSession, path: str) -> str:
-    rows = spark.read.text(path).head(1)
-    if not rows:
+@dataclass(frozen=True)
+class Dialect:
+    """Files with one header and, per separator, how many of the sampled lines have as many columns as it."""
+
+    header: str
+    agreeing: dict[str, int]
+    lines: int
+    files: tuple[str, ...]
+
+
+def dialects(spark: SparkSession, path: str) -> list[Dialect]:
+    """The dialects among the files under ``path``, from the first SAMPLE_LINES lines with text of each file.
+
+    Text between quotes is no separator. The driver gets one row per header and agreement, with the names of its files.
+    """
+    widths = F.array(*[F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), f"\\Q{sep}\\E", -1)) for sep in SNIFFED_SEPARATORS])
+    text = _located_text(spark, path, whole=False).where((F.col("block") == 0) & (F.trim("value") != ""))
+    order = Window.partitionBy("file").orderBy("line")
+    numbered = text.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_LINES)
+    sample = numbered.withColumn("widths", widths).withColumn("first", F.first("widths").over(order))
+    agreeing = F.array(*[F.count_if(F.col("widths")[i] == F.col("first")[i]) for i in range(len(SNIFFED_SEPARATORS))])
+    per_file = sample.groupBy("file").agg(
+        F.min_by("value", "n").alias("header"), agreeing.alias("agreeing"), F.count(F.lit(1)).alias("lines")
+    )
+    found = per_file.groupBy("header", "agreeing", "lines").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    if not found:
         raise ValueError(f"empty source: {path}")
-    return rows[0]["value"].lstrip("\ufeff")
+    return sorted(
+        (
+            Dialect(r["header"].lstrip("\ufeff"), dict(zip(SNIFFED_SEPARATORS, r["agreeing"], strict=True)), r["lines"], tuple(r["files"]))
+            for r in found
+        ),
+        key=lambda d: d.files,
+    )
 
 
 def header_width(line: str, sep: str) -> int:
     return len(next(csv.reader([line], delimiter=sep)))
 
 
-def pick_separator(line: str) -> str:
-    """First separator that gives more than three columns."""
-    for sep in SEPARATORS:
-        if header_width(line, sep) > 3:
-            return sep
-    raise ValueError("no separator splits the header into more than three columns")
+def pick_separator(line: str, steady: Collection[str] = SEPARATORS) -> str:
+    """First separator that gives more than three columns, of those that are steady over the lines if any is."""
+    wide = [sep for sep in SEPARATORS if header_width(line, sep) > 3]
+    if not wide:
+        raise ValueError("no separator splits the header into more than three columns")
+    return next((sep for sep in wide if sep in steady), wide[0])
+
 
+def sniff_separator(line: str, agreeing: Mapping[str, int] | None = None) -> str:
+    """The separator that splits the header into most columns, over the lines that agree with the header."""
+    lines = agreeing or {}
+    return max(SNIFFED_SEPARATORS, key=lambda sep: lines.get(sep, 1) * (header_width(line, sep) - 1))
 
-def sniff_separator(line: str) -> str:
-    """The separator that splits the header into most columns."""
-    return max(SNIFFED_SEPARATORS, key=lambda sep: header_width(line, sep))
+
+def _read_dialects(spark: SparkSession, path: str, choose: Callable[[Dialect], str]) -> DataFrame:
+    """Every file by its own separator and header; columns meet by name, those that a file lacks are NULL in it."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for dialect in dialects(spark, path):
+        groups.setdefault((choose(dialect), dialect.header), []).extend(dialect.files)
+    if len(groups) == 1:
+        return read_delimited(spark, path, next(iter(groups))[0])
+    if len(groups) > MOST_DIALECTS:
+        raise ValueError(f"{path} has files of {len(groups)} headers, {MOST_DIALECTS} at most are read together")
+    parts = [read_delimited(spark, [unquote(f) for f in files], sep) for (sep, _), files in groups.items()]
+    names = [c for c in dict.fromkeys(c for part in parts for c in part.columns) if c != SOURCE_ORDER]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts).select(*[F.col(f"`{c}`") for c in [*names, SOURCE_ORDER]])
 
 
 def read_unknown_dialect(spark: SparkSession, path: str) -> DataFrame:
-    """Table whose separator is one of three."""
-    return read_delimited(spark, path, pick_separator(header_line(spark, path)))
+    """Table whose separator is one of three; the files of a folder may differ in separator and header."""
+
+    def choose(found: Dialect) -> str:
+        return pick_separator(found.header, [sep for sep, n in found.agreeing.items() if 2 * n > found.lines])
+
+    return _read_dialects(spark, path, choose)
 
 
 def read_sniffed(spark: SparkSession, path: str) -> DataFrame:
-    """Table whose separator is detected."""
-    return read_delimited(spark, path, sniff_separator(header_line(spark, path)))
+    """Table whose separator is detected; the files of a folder may differ in separator and header."""
+    return _read_dialects(spark, path, lambda found: sniff_separator(found.header, found.agreeing))
 
 
 def _located_text(spark: SparkSession, path: str | Sequence[str], whole: bool) -> DataFrame:

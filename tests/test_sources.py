@@ -100,6 +100,45 @@ def test_quoted_cells_and_missing_texts(spark, tmp_path):
     assert rows(without_source_order(landed.read_unknown_dialect(spark, str(path)))) == [('x,"y"', None, None, None)]
 
 
+def test_files_of_a_folder_have_their_own_dialects(spark, tmp_path):
+    """Separators, order of columns and columns differ between files; lines keep their file and order."""
+    folder = tmp_path / "mixed files"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id;name;town;note\n1;A, B;x;p\n2;C, D;y;\n")
+    (folder / "b 2.csv").write_text('\ufeffnote,id,"town",name\n"q;r;s;t",3,z,E\n')
+    (folder / "c.csv").write_text("id\tname\ttown\textra\n4\tF\tw\t7\n")
+    (folder / "d.csv").write_text("id;name;town;note\n5;G;v;u\n")
+    (folder / "empty.csv").write_text("")
+    for read in (landed.read_unknown_dialect, landed.read_sniffed):
+        got = read(spark, str(folder))
+        assert set(got.columns) == {"id", "name", "town", "note", "extra", SOURCE_ORDER}
+        assert rows(got.select("id", "name", "town", "note", "extra")) == [
+            ("1", "A, B", "x", "p", None), ("2", "C, D", "y", None, None), ("3", "E", "z", "q;r;s;t", None), ("4", "F", "w", None, "7"), ("5", "G", "v", "u", None),
+        ]
+        assert [r["id"] for r in got.orderBy(SOURCE_ORDER).collect()] == ["1", "2", "3", "4", "5"]
+    found = landed.dialects(spark, str(folder))
+    assert len(found) == 4 and sum(len(d.files) for d in found) == 4
+
+
+def test_lines_outvote_a_header_that_fits_two_separators(spark, tmp_path):
+    path = tmp_path / "two.csv"
+    path.write_text("a;x,b;y,c;z,d;w\n" + "1,2,3,4\n" * 5)
+    assert landed.read_unknown_dialect(spark, str(path)).columns[:2] == ["a;x", "b;y"]
+    assert landed.read_sniffed(spark, str(path)).columns[:2] == ["a;x", "b;y"]
+
+
+def test_dialects_of_nothing_and_of_too_many(spark, tmp_path, monkeypatch):
+    (tmp_path / "none.csv").write_text("\n \n")
+    with pytest.raises(ValueError, match="empty source"):
+        landed.read_sniffed(spark, str(tmp_path / "none.csv"))
+    monkeypatch.setattr(landed, "MOST_DIALECTS", 1)
+    (tmp_path / "many").mkdir()
+    for n in range(2):
+        (tmp_path / "many" / f"{n}.csv").write_text(f"a{n},b\n1,2\n")
+    with pytest.raises(ValueError, match="at most"):
+        landed.read_sniffed(spark, str(tmp_path / "many"))
+
+
 def test_stations_timetables_carbon(spark, root):
     stations = clean.clean_stations(landed.read_sniffed(spark, f"{root}/gares_europeennes.csv"))
     assert sorted(values(stations, "id")) == ["1", "4"] and "extra" not in stations.columns
