@@ -7,7 +7,8 @@ size and the positions in both sets rule out.
 
 Answers are derived from those of similar sets: each set is first compared with a leader of its lists alone. Sets
 that links connect then count as one, and only pairs between different components are looked at again. All pairs
-that are left are verified exactly, with each set travelling once to the family it belongs to.
+that are left and that sketches as wide as the sets do not rule out are verified exactly, with each set travelling once
+to the family it belongs to.
 """
 
 from __future__ import annotations
@@ -157,12 +158,27 @@ def heavy_hitters(rows: DataFrame, total: int) -> np.ndarray:
     return shingles[np.lexsort((shingles, counts))]
 
 
-def set_rows(rows: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit print and a sketch of every row's set.
+def sketches_of(shingles: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+    """The sketch and the wide sketch of every set.
 
-    The sketch has SKETCH_WORDS x 64 bits; a shingle flips one of them. Two sets whose sketches differ in k bits
-    differ in k shingles at least.
+    A shingle flips one bit of a sketch, so two sets whose sketches differ in k bits differ in k shingles at least. The
+    sketch has SKETCH_WORDS x 64 bits; the wide one doubles until it has a bit per shingle, and its halves, added up, are
+    the sketch of half the width.
     """
+    width = SKETCH_WORDS * 64
+    bits = width << np.ceil(np.log2(np.maximum(sizes / width, 1))).astype(np.int64)
+    ends = np.cumsum(bits)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = ((shingles >> np.uint64(20)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount((ends - bits)[owner] + at, minlength=int(bits.sum()))
+    flat = np.packbits((counts & 1).astype(np.uint8))
+    narrow = np.bitwise_xor.reduceat(flat.reshape(-1, width // 8), (ends - bits) // width, axis=0) if len(sizes) else flat
+    data, rows = flat.tobytes(), [row.tobytes() for row in narrow]
+    return [pa.array(rows, pa.binary()), pa.array([data[(e - b) // 8 : e // 8] for b, e in zip(bits, ends, strict=True)], pa.binary())]
+
+
+def set_rows(rows: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, a 128-bit print and both sketches of every row's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,15 +189,10 @@ def set_rows(rows: DataFrame) -> DataFrame:
                 sums2 = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles ^ _ODD[3]))])
                 columns = [part.column("doc_id"), pa.array(sizes.astype(np.int64))]
                 columns += [_signed(s[edges[1:]] - s[edges[:-1]]) for s in (sums, sums2)]
-                bits = (shingles >> np.uint64(20)) % np.uint64(SKETCH_WORDS * 64)
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                counts = np.bincount(owner * SKETCH_WORDS * 64 + bits.astype(np.int64), minlength=len(sizes) * SKETCH_WORDS * 64)
-                flat = np.packbits((counts & 1).astype(np.uint8)).tobytes()
-                width = SKETCH_WORDS * 8
-                columns.append(pa.array([flat[k * width : (k + 1) * width] for k in range(len(sizes))], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print1", "print2", "sketch"])
+                columns += sketches_of(shingles, sizes)
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print1", "print2", "sketch", "wide"])
 
-    return arrow_map(rows, work, "doc_id long, n_shingles long, print1 long, print2 long, sketch binary")
+    return arrow_map(rows, work, "doc_id long, n_shingles long, print1 long, print2 long, sketch binary, wide binary")
 
 
 def postings(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -337,6 +348,29 @@ def candidates(lists: DataFrame, sketches: DataFrame, components_: DataFrame | N
     return _by_list(rows, work, names, "a long, b long").distinct()
 
 
+def apart(x: bytes, y: bytes) -> int:
+    """In how many bits two wide sketches differ; the wider one is folded first."""
+    small, large = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(small ^ np.bitwise_xor.reduce(large.reshape(-1, len(small)), axis=0)).sum())
+
+
+def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that the wide sketches leave open: a short sketch says nothing of long sets, whose texts are large."""
+    side = sets.select("doc_id", "n_shingles", "wide")
+    met = pairs.join(side.toDF("a", "n_a", "wide_a"), "a").join(side.toDF("b", "n_b", "wide_b"), "b")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            most = n_a + n_b - 2 * overlap_needed(n_a, n_b)
+            wide = zip(batch.column("wide_a").to_pylist(), batch.column("wide_b").to_pylist(), strict=True)
+            fits = pa.array([apart(x, y) <= m for (x, y), m in zip(wide, most.tolist(), strict=True)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(fits)
+
+    # rows with equal id and text have one sketch and would repeat the pair
+    return arrow_map(met.select("a", "b", "n_a", "n_b", "wide_a", "wide_b"), work, "a long, b long").distinct()
+
+
 def meetings(pairs: DataFrame) -> DataFrame:
     """Where sets meet to be compared: hub, part, other, doc_id and the partners of the document there.
 
@@ -422,8 +456,8 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Dat
     sketches = sets.select("doc_id", "sketch").join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     # copies are indexed with their class and taken out of the short lists, which spares an exchange of all texts
     lists = stage(shared(shared(postings(rows, heavy)).join(reps, "doc_id", "left_semi")), "set-lists")
-    near = stage(verified(stage(candidates(lists, sketches), "set-pairs"), rows), "set-links")
-    between = stage(candidates(lists, sketches, connected(near.select("a", "b"))), "set-pairs")
+    near = stage(verified(stage(plausible(candidates(lists, sketches), sets), "set-pairs"), rows), "set-links")
+    between = stage(plausible(candidates(lists, sketches, connected(near.select("a", "b"))), sets), "set-pairs")
     return members, near.union(verified(between, rows))
 
 

@@ -168,6 +168,32 @@ def test_lists_skip_only_what_cannot_match():
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == want
 
 
+def test_wide_sketches_rule_out_only_what_cannot_link(spark):
+    """Sets from none to 5,000 shingles: halves added up, a bound that holds, long unrelated sets told apart."""
+    rng = np.random.default_rng(6)
+    sizes = np.array([0, 1, 511, 512, 513, 900, 1100, 5000, 4300, 4900])
+    pool = rng.integers(0, 2**63, 12_000).astype(np.uint64)
+    starts = np.array([0, 0, 0, 0, 0, 40, 0, 0, 300, 7000])  # sets are runs of the pool, and the last one is apart
+    flat = np.concatenate([pool[s : s + n] for s, n in zip(starts, sizes, strict=True)])
+    narrow, wide = (column.to_pylist() for column in set_join.sketches_of(flat, sizes))
+    assert [len(w) * 8 for w in wide] == [512, 512, 512, 512, 1024, 1024, 2048, 8192, 8192, 8192]
+    sets = [set(pool[s : s + n].tolist()) for s, n in zip(starts, sizes, strict=True)]
+    for x, one in enumerate(sets):
+        counts = [0] * 512
+        for shingle in one:
+            counts[(shingle >> 20) % 512] ^= 1
+        assert narrow[x] == np.packbits(np.array(counts, np.uint8)).tobytes()
+        for y, other in enumerate(sets):
+            assert set_join.apart(wide[x], wide[y]) <= len(one ^ other)
+    rows = [(n, int(sizes[n]), wide[n]) for n in range(len(sizes))]
+    table = spark.createDataFrame([*rows, rows[8]], "doc_id long, n_shingles long, wide binary")  # a repeated row
+    pairs = [(a, b) for b in range(1, len(sets)) for a in range(1, b)]
+    got = {tuple(r) for r in set_join.plausible(spark.createDataFrame(pairs, "a long, b long"), table).collect()}
+    linked = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {(7, 8), (2, 3)} <= linked <= got and not {(7, 9), (8, 9)} & got
+    assert set_join.plausible(spark.createDataFrame([], "a long, b long"), table).count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(0, 300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(900, 800), (5, 5)], "a long, b long"))
     got = {r["id"]: r["component"] for r in components.connected(links).collect()}
