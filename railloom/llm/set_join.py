@@ -35,6 +35,8 @@ HEAVY_SHARE = 4000
 WINDOW_SHINGLES = 1 << 22
 MEETING_SETS = 64
 SKETCH_WORDS = 8
+#: Ids that are broadcast at most, 8 MB of them.
+BROADCAST_IDS = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -354,9 +356,17 @@ def apart(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(small ^ np.bitwise_xor.reduce(large.reshape(-1, len(small)), axis=0)).sum())
 
 
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows that a later join on doc_id with ``ids`` can keep: sifted where they lie if the ids are few enough to be
+    broadcast, else all of them, and the join does it."""
+    ids = stage(ids.distinct(), "set-ids")
+    return rows.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= BROADCAST_IDS else rows
+
+
 def plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that the wide sketches leave open: a short sketch says nothing of long sets, whose texts are large."""
-    side = sets.select("doc_id", "n_shingles", "wide")
+    pairs = stage(pairs, "set-candidates")
+    side = among(sets.select("doc_id", "n_shingles", "wide"), pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     met = pairs.join(side.toDF("a", "n_a", "wide_a"), "a").join(side.toDF("b", "n_b", "wide_b"), "b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,6 +408,7 @@ def meetings(pairs: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs that link, with their overlap: a, b, overlap."""
     met = meetings(pairs)
+    rows = among(rows, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     key = ["hub", "part", "other"]
     # the texts travel compressed, which is a third of their sets, and become sets where they meet
     dealt = packed(rows, ["doc_id"]).join(met, "doc_id").repartition(*key).sortWithinPartitions(*key)

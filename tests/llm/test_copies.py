@@ -75,7 +75,10 @@ def test_links_are_complete(spark, monkeypatch, heavy_share):
     assert got == brute_components(rows)
 
 
-def test_links_with_overlap(spark):
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_links_with_overlap(spark, monkeypatch, most):
+    """Also where there are too many ids to broadcast."""
+    monkeypatch.setattr(set_join, "BROADCAST_IDS", most)
     texts = near_copies(30, 9, 5)
     docs = cases.documents(spark, [(n, t, None) for n, t in enumerate(texts)])
     members, links = set_join.join(docs)
