@@ -102,3 +102,36 @@ def test_no_facts(spark, zone):
     release = zone.release()
     assert serving.page(release).count() == serving.fact(release, 1).count() == serving.page_on_date(release, 1).count() == 0
     assert rows(serving.network_summary(release)) == [(0, 0.0, 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_many_small_ranges_share_folders(spark, zone):
+    """Folders follow the rows: a narrow range is no folder of its own, and answers are the same."""
+    versions = facts(spark), facts(spark).where("fact_id <> 33")
+    for version in versions:
+        with zone.draft() as draft:
+            serving.refresh(draft, version, 6)
+    release = zone.release()
+    for table in (serving.FACTS, serving.DATES, serving.PARTIALS):
+        parts = release.entry(table).parts
+        assert len({p.bucket for p in parts}) >= 400 and len({p.path for p in parts}) <= 32
+    assert len(release.entry(serving.FACTS).parts) == 500 and serving.total(release) == 999
+    want = rows(versions[1])
+    for number, size in ((1, 20), (33, 7), (2, 600), (50, 20)):
+        page = serving.page(release, number, size)
+        assert sorted(tuple(r) for r in page.collect()) == sorted(want)[(number - 1) * size : number * size]
+    assert rows(release.buckets(serving.FACTS, [3, 200])) == [r for r in want if r[0] // 6 in (3, 200)]
+    assert serving.fact(release, 33).count() == 0 and serving.fact(release, 36).count() == 1
+    on = sorted(rows(versions[1].where(holds_id(F.col("date_ids"), 9))))
+    assert [tuple(r) for r in serving.page_on_date(release, 9, 3, 30).collect()] == on[60:90]
+    assert rows(serving.network_summary(release)) == rows(analytics.network_summary(versions[1]))
+
+
+def test_ranges_are_dealt_anew_when_many_come(spark, zone):
+    for version in (facts(spark, 40), facts(spark, 2000), facts(spark, 1999)):
+        with zone.draft() as draft:
+            serving.refresh(draft, version, 6)
+        release = zone.release()
+        assert rows(release.read(serving.FACTS)) == rows(version)
+        assert rows(serving.network_summary(release)) == rows(analytics.network_summary(version))
+        for table in (serving.FACTS, serving.DATES, serving.PARTIALS):
+            assert len({p.path for p in release.entry(table).parts}) <= 32
