@@ -85,6 +85,15 @@ class Dialect:
     files: tuple[str, ...]
 
 
+def _first_lines(text: DataFrame) -> DataFrame:
+    """The first SAMPLE_LINES of each file, with their number ``n``; lines are told by their distance from the first, unsorted.
+
+    One task reads the first block of a file, so the ids of its lines are consecutive.
+    """
+    begins = text.groupBy("file").agg(F.min("line").alias("begin"))  # one row per file
+    return text.join(F.broadcast(begins), "file").withColumn("n", F.col("line") - F.col("begin") + 1).where(F.col("n") <= SAMPLE_LINES)
+
+
 def dialects(spark: SparkSession, path: str) -> list[Dialect]:
     """The dialects among the files under ``path``, from the first SAMPLE_LINES lines with text of each file.
 
@@ -92,8 +101,8 @@ def dialects(spark: SparkSession, path: str) -> list[Dialect]:
     """
     widths = F.array(*[F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), f"\\Q{sep}\\E", -1)) for sep in SNIFFED_SEPARATORS])
     text = _located_text(spark, path, whole=False).where((F.col("block") == 0) & (F.trim("value") != ""))
+    numbered = _first_lines(text.withColumn("line", F.monotonically_increasing_id()))  # lines with text follow each other
     order = Window.partitionBy("file").orderBy("line")
-    numbered = text.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_LINES)
     sample = numbered.withColumn("widths", widths).withColumn("first", F.first("widths").over(order))
     agreeing = F.array(*[F.count_if(F.col("widths")[i] == F.col("first")[i]) for i in range(len(SNIFFED_SEPARATORS))])
     per_file = sample.groupBy("file").agg(
@@ -243,9 +252,10 @@ def keyed_rows(spark: SparkSession, path: str | Sequence[str], per_line: bool =
     """
     texts = _located_text(spark, path, False).withColumnRenamed("value", "text") if per_line else keyed_records(spark, path)
     parsed = texts.where(~F.col("text").rlike(r"^\s*$")).withColumn("entries", F.from_json("text", "map<string,map<string,string>>"))
-    sound = parsed.where("entries IS NOT NULL").select("file", "block", "line", F.posexplode("entries").alias("item", "key", "row"), F.lit(None).cast("string").alias("text"))
-    bad = parsed.where("entries IS NULL").select("file", "block", "line", F.lit(0).alias("item"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("map<string,string>").alias("row"), "text")
-    return stage(sound.where("row IS NOT NULL").unionByName(bad), "keyed")
+    bad = F.when(F.col("entries").isNull(), F.col("text")).alias("text")
+    # one pass, in which a text that cannot be parsed has one row without an entry
+    rows = parsed.select("file", "block", "line", F.posexplode_outer("entries").alias("item", "key", "row"), bad).where("row IS NOT NULL OR text IS NOT NULL")
+    return stage(rows.withColumn("item", F.coalesce("item", F.lit(0))), "keyed")
 
 
 def line_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -305,8 +315,17 @@ def column_names(rows: DataFrame) -> list[str]:
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str], per_line: bool = False) -> DataFrame:
-    """Pages of ``{total_count, results: [...]}``, as landed; one per file, or one per line."""
-    return spark.read.json(path, multiLine=not per_line)
+    """Pages of ``{total_count, results: [...]}``, as landed; one per file, or one per line.
+
+    Spark finds the schema of files that are one object each in a single task; here it is found from their texts, by many.
+    """
+    if per_line:
+        return spark.read.json(path)
+    texts = spark.read.text(path, wholetext=True).select(F.ltrim("value", F.lit("\ufeff")))
+    schema = spark.read.json(texts.rdd.map(lambda page: page[0])).schema
+    if "results" not in schema.names:  # no text of UTF-8
+        return spark.read.json(path, multiLine=True)
+    return spark.read.schema(schema).json(path, multiLine=True)
 
 
 def records_of(pages: DataFrame) -> DataFrame:

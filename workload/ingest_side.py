@@ -66,8 +66,10 @@ def land(t: Tables, root: str) -> None:
     t.customer.select(*carbon, F.lit(2).alias("Train - Empreinte carbone (kgCO2e)")).write.csv(f"{root}/co2_emissions.csv", sep=";", header=True)
     record = F.struct(F.lit("TER").alias("transporteur"), k.cast("double").alias("distance_entre_les_gares"))
     pages = t.supplier.groupBy(F.floor(k / 10).alias("page")).agg(F.collect_list(record).alias("results"))
-    total = F.lit(t.supplier.count()).alias("total_count")
-    pages.select("page", F.to_json(F.struct(total, "results")).alias("value")).write.partitionBy("page").text(f"{root}/sncf_emissions")
+    n = t.supplier.count()
+    texts = pages.select("page", F.to_json(F.struct(F.lit(n).alias("total_count"), "results")).alias("value"))
+    # a file a page: some hundred in each task
+    texts.repartition(max(1, min(4096, n // 2000)), "page").write.partitionBy("page").text(f"{root}/sncf_emissions")
 
 
 CUBE_ROWS = "3 * (SELECT count(DISTINCT l_suppkey) FROM lineitem)"
