@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from railloom.operators import dedup, numbering, quality
+from railloom.operators import dedup, numbering, quality, staging
 from railloom.operators.columns import SOURCE_ORDER
 from railloom.plans import intermodal, warehouse
 from railloom.sources import landed, zones
@@ -100,3 +103,50 @@ def test_changes_are_found_once(spark, zone, monkeypatch):
             warehouse.WarehouseLoad(zone.release(), draft)._merge("dim_operateur", load)
     assert not calls
     assert rows(zone.read("dim_operateur").select("agency_id", "agency_name")) == [("1", "a"), ("2", "c"), ("3", "d")]
+
+
+def test_numbered_rows_are_a_plain_scan_in_order_of_their_position(spark):
+    data = [(None, "n")] + [((k % 7, None if k % 3 else k, str(k)), f"v{k}") for k in range(60)]
+    df = spark.createDataFrame(data, f"{SOURCE_ORDER} struct<a:int,b:int,c:string>, v string").repartition(5)
+    numbered = numbering.source_ids(df, "id", keep=False)
+    assert numbered.columns == ["id", "v"] and "Join" not in plan(numbered)
+    wanted = [r["v"] for r in df.orderBy(SOURCE_ORDER).collect()]
+    assert [(r["id"], r["v"]) for r in numbered.orderBy("id").collect()] == [(i + 1, v) for i, v in enumerate(wanted)]
+    kept = numbering.source_ids(df, "id")
+    assert kept.columns == ["id", SOURCE_ORDER, "v"] and [r["v"] for r in kept.orderBy("id").collect()] == wanted
+    placed = df.select("v", (F.length("v") * 1000 + F.hash("v") % 500).alias("p"))
+    assert "Join" not in plan(numbering.ids_by_place(placed, "p", 10_000, "id"))
+
+
+def test_trains_of_a_connection_are_found_without_a_sort_and_without_its_position(spark):
+    raw = connections(spark)
+    assert dict(raw.dtypes)[SOURCE_ORDER] == "bigint"  # the number, and not the struct beside it
+    found = intermodal.trains_unchecked(raw, intermodal.routes(raw))
+    assert "Window" not in plan(found)
+    assert rows(found.select("origin", "destination", "distance", intermodal.ROW, SOURCE_ORDER)) == [
+        ("A", "B", 1.0, 1, 1), ("A", "B", 2.0, 2, 2), ("B", "C", None, 3, 3), ("C", "A", 5.0, 5, 5)
+    ]
+
+
+def test_an_order_that_is_total_needs_no_other_columns(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "z")], "k string, n int, v string")
+    first = dedup.keep_first(df, ["k"], [F.col("n")], True)
+    assert rows(first) == rows(dedup.keep_first(df, ["k"], [F.col("n")])) == [("a", 1, "y"), (None, 3, "z")]
+    order = [line for line in plan(first).splitlines() if "row_number()" in line][0]
+    assert "v#" not in order[order.index("windowspecdefinition"):]
+
+
+def test_shuffles_of_a_staged_table_are_dropped_when_it_is_written(spark):
+    seen, before = [], spark.conf.get(staging.CLEANUP, None)
+    with staging.shuffles_dropped(spark), staging.shuffles_dropped(spark):
+        seen.append(spark.conf.get(staging.CLEANUP))
+    assert seen == ["true"] and spark.conf.get(staging.CLEANUP, None) == before
+    root = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    kept = {f.name for f in root.glob("*/shuffle_*.data")}
+    staged = staging.stage(spark.range(1000).repartition(3, "id"), "probe")
+    for _ in range(100):
+        left = {f.name for f in root.glob("*/shuffle_*.data")} - kept
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and staged.count() == 1000
