@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from railloom.operators import dedup, numbering, quality, staging
 from railloom.operators.columns import SOURCE_ORDER
 from railloom.plans import intermodal, warehouse
+from railloom.schemas import WAREHOUSE
 from railloom.sources import landed, zones
 from tests.conftest import rows
 
@@ -150,3 +151,73 @@ def test_shuffles_of_a_staged_table_are_dropped_when_it_is_written(spark):
             break
         time.sleep(0.1)
     assert not left and staged.count() == 1000
+
+
+def facts_of(spark, trains):
+    """Facts that differ in their train and their dates only."""
+    fields = WAREHOUSE[warehouse.FACT].fields
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields if f.name != "fact_id")
+    blank = {f.name: None for f in fields if f.name != "fact_id"}
+    data = [tuple((blank | {"train_id": t, "distance_km": 1.0, "date_ids": dates}).values()) for t, dates in trains]
+    return spark.createDataFrame(data, kinds)
+
+
+def test_facts_of_two_runs_are_compared_once(spark, zone, monkeypatch):
+    night = [("A", [1]), ("B", [1]), ("B", [2]), ("C", [1])]
+    later = [("A", [1, 3]), ("B", [1]), ("D", [4])]
+
+    def load(trains):
+        with zone.draft() as draft:
+            run = warehouse.WarehouseLoad(zone.release(), draft)
+            run._publish_facts(warehouse.NIGHT_FACTS, facts_of(spark, trains))
+            run._publish_facts(warehouse.INTERMODAL_FACTS, facts_of(spark, [("X", [1]), ("X", [1])]))
+            run.serving_tables()
+        return {(r["train_id"], tuple(r["date_ids"])): r["fact_id"] for r in zone.read(warehouse.FACT).collect()}
+
+    first = load(night)
+    assert sorted(r["fact_id"] for r in zone.read(warehouse.FACT).collect()) == [1, 2, 3, 4, 5, 6]
+    calls, row_changes = [], zones.row_changes
+    monkeypatch.setattr(zones, "row_changes", lambda *a: calls.append(a) or row_changes(*a))
+    second = load(later)
+    assert not calls
+    assert second == {("A", (1, 3)): first["A", (1,)], ("B", (1,)): first["B", (1,)], ("D", (4,)): 7, ("X", (1,)): second["X", (1,)]}
+    assert rows(zone.read("serving_facts")) == rows(zone.read(warehouse.FACT)) and zone.read(warehouse.FACT).count() == 5
+    dates = {(r["date_id"], tuple(r["fact_ids"])) for r in zone.read("serving_dates").collect()}
+    a, b = first["A", (1,)], first["B", (1,)]
+    assert dates == {(1, tuple(sorted((a, b, 5, 6)))), (3, (a,)), (4, (7,))}
+    number = zone.release().manifest.tables
+    load(later)
+    assert zone.release().manifest.tables == number  # nothing new, nothing written
+
+
+def test_a_repeated_grain_that_shares_its_short_hash_only_is_a_single_fact(spark, monkeypatch):
+    monkeypatch.setattr(warehouse.F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    found = warehouse.numbered_in_grain(facts_of(spark, [("A", [1]), ("B", [2]), ("B", [1])]))
+    assert rows(found.select("train_id", "date_ids", "occurrence")) == [("A", [1], 0), ("B", [1], 0), ("B", [2], 1)]
+
+
+def test_new_rows_are_added_without_a_look_at_the_others(spark, zone, monkeypatch):
+    keys, joined, upsert = ["agency_id"], [], zones.merge_upsert
+    monkeypatch.setattr(zones, "merge_upsert", lambda old, new, *a, **b: joined.append(rows(new)) or upsert(old, new, *a, **b))
+    loads = [[("1", "a"), ("2", "b")], [("1", "a"), ("3", "c")], [("1", "x"), ("4", "d")]]
+    for load in loads:
+        with zone.draft() as draft:
+            warehouse.WarehouseLoad(zone.release(), draft)._merge("dim_operateur", spark.createDataFrame(load, "agency_id string, agency_name string"))
+    assert joined == [[("1", "x")]]
+    assert rows(zone.read("dim_operateur").select(*keys, "agency_name")) == [("1", "x"), ("2", "b"), ("3", "c"), ("4", "d")]
+
+
+def test_a_repeated_natural_key_fails_after_the_lookup_too(spark):
+    known = spark.createDataFrame([(1, "a")], "id int, k string")
+    for repeated in ([("b",), ("b",)], [("a",), ("a",)], [(None,), (None,)]):
+        with pytest.raises(Exception, match="repeated key"):
+            numbering.keyed_ids(spark.createDataFrame(repeated, "k string"), known, ["k"], "id").collect()
+
+
+def test_a_full_bucket_is_written_by_many_tasks(spark, zone, monkeypatch):
+    monkeypatch.setattr(zones, "BUCKET_ROWS", 50)
+    zone.publish("t", spark.range(100).toDF("k"), ["k"])
+    entry = zone.release().entry("t")
+    files = [f for p in entry.parts for f in Path(p.path.removeprefix("file:")).glob("*.parquet")]
+    assert entry.buckets == 2 and len(entry.parts) == 2 and len(files) > 4
+    assert rows(zone.release().buckets("t", [0, 1])) == [(k,) for k in sorted(range(100), key=lambda k: repr((k,)))]
